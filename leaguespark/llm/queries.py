@@ -5,8 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import exact_dedup, mixing
-from leaguespark.llm.common import read
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing
+from leaguespark.llm.common import crc_mod, read
+
+
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    hits = decontaminate.find_hits(docs, read(spark, sf_dir, "benchmark"))
+    # Ranges are disjoint: starts and ends alternate, so n_hit is the alternating sum.
+    n_hit = F.aggregate("__hits", F.struct(F.lit(0).cast("long").alias("n"), F.lit(-1).alias("sign")), lambda a, x: F.struct((a["n"] + x * a["sign"]).alias("n"), (-a["sign"]).alias("sign")), lambda a: a["n"])
+    return hits.select("doc_id", F.col("__n_words").alias("n_words"), n_hit.alias("n_hit"), F.size("__item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("__item_ids", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    held_out = crc_mod("doc_id", 4) == 2
+    models = langid.fit(docs.filter(~held_out))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), F.col("text").cast("string").alias("text"))
+    found = langid.identify(rows, models)
+    return found.select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"), F.col("__entropy").alias("cross_entropy"), F.col("__rejected").alias("rejected"))
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,5 +36,5 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {"op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup}
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup}
 ORACLES: dict[str, str] = {}
