@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import decontaminate, exact_dedup, langid, mixing
-from leaguespark.llm.common import crc_mod, read
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, quality, toxicity
+from leaguespark.llm.common import crc_mod, read, stash
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,5 +36,26 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op6_mixing": op6_mixing, "op7_exact_dedup": op7_exact_dedup}
+def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
+    """(label_id, label) of the rows that may be learned from; a repeated id is one row."""
+    rows = read(spark, sf_dir, "labels").filter(crc_mod("doc_id", 5) != 0)
+    return rows.groupBy(F.col("doc_id").cast("long").alias("label_id")).agg(F.max(column).alias("label"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    model = toxicity.fit(docs.join(_labels(spark, sf_dir, "toxic"), F.col("doc_id") == F.col("label_id")).select("text", "label"))
+    scored = toxicity.score(docs.withColumn("held_out", crc_mod("doc_id", 5) == 0), model)
+    return scored.select("doc_id", "held_out", F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    measured = stash(quality.with_statistics(docs.withColumn("held_out", crc_mod("doc_id", 5) == 0)))
+    model = quality.fit(measured.join(_labels(spark, sf_dir, "quality"), F.col("doc_id") == F.col("label_id")))
+    scored = quality.score(measured, model)
+    return scored.select("doc_id", "held_out", F.col("__score").alias("score"), (F.col("__score") >= 0.3).cast("int").alias("predicted"))
+
+
+QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
 ORACLES: dict[str, str] = {}
