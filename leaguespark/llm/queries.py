@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, quality, toxicity
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, quality, secrets, toxicity
 from leaguespark.llm.common import crc_mod, read, stash
 
 
@@ -36,6 +36,19 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def _joined(spans: Column) -> Column:
+    return F.array_join(F.transform(spans, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    spans = F.col("__secrets")
+    count = lambda kind: F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+    base = F.filter(spans, lambda x: x["kind"].isin("assign", "access", "hex"))
+    found = secrets.scan(docs).select("doc_id", "__secrets")
+    return found.select("doc_id", count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"), F.sha2(_joined(base).cast("binary"), 256).alias("base_sha256"), _joined(spans).alias("spans"))
+
+
 def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
     """(label_id, label) of the rows that may be learned from; a repeated id is one row."""
     rows = read(spark, sf_dir, "labels").filter(crc_mod("doc_id", 5) != 0)
@@ -57,5 +70,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", F.col("__score").alias("score"), (F.col("__score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
+QUERIES = {"op4_secrets": op4_secrets, "op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
 ORACLES: dict[str, str] = {}
