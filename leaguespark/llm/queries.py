@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, quality, secrets, toxicity
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, pii, quality, secrets, toxicity
 from leaguespark.llm.common import crc_mod, read, stash
 
 
@@ -70,5 +70,11 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", F.col("__score").alias("score"), (F.col("__score") >= 0.3).cast("int").alias("predicted"))
 
 
-QUERIES = {"op4_secrets": op4_secrets, "op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(read(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *[count(kind) for kind in pii.BASE_KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))
+
+
+QUERIES = {"op10_pii": op10_pii, "op4_secrets": op4_secrets, "op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
 ORACLES: dict[str, str] = {}
