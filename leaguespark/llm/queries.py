@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, pii, quality, secrets, toxicity
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join, pii, quality, secrets, toxicity
 from leaguespark.llm.common import crc_mod, read, stash
 
 
@@ -62,6 +62,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     measured = stash(quality.with_statistics(docs.withColumn("held_out", crc_mod("doc_id", 5) == 0)))
@@ -76,5 +80,5 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(kind) for kind in pii.BASE_KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))
 
 
-QUERIES = {"op10_pii": op10_pii, "op4_secrets": op4_secrets, "op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
+QUERIES = {"op8_ngram_join": op8_ngram_join, "op10_pii": op10_pii, "op4_secrets": op4_secrets, "op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
 ORACLES: dict[str, str] = {}
