@@ -1,4 +1,54 @@
-STAGES = []
+"""The corpus pipeline: five operators in a row, each over all that its predecessor kept."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join
+from leaguespark.llm.common import read, stash
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language the models recognise; the models are learned from the documents' own tags."""
+    return langid.keep_identified(docs, docs)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each text, up to white space."""
+    return exact_dedup.deduplicate(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates."""
+    return ngram_join.keep_representatives(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in which no window of a benchmark item occurs."""
+    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them, with a column ``copy``."""
+    return mixing.mix_documents(docs)
+
+
+STAGES = [
+    ("language id", identify_language),
+    ("exact dedup", drop_copies),
+    ("n-gram Jaccard join", drop_near_copies),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing sources", mix_sources),
+]
+
+#: Kneser-Ney models and connected components are beyond one SQL statement.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stash(docs)
+    return docs

@@ -373,7 +373,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id, unchanged."""
-    found = stash(near_duplicates(docs).select("doc_id", "component_id").filter("doc_id <> component_id").select("doc_id").distinct())
-    gone = found.select(F.col("doc_id").alias("__gone"))
+    """One document of each group of near duplicates, the one with the smallest id, unchanged; rows without an id stay."""
+    named = near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
+    gone = stash(named.filter("NOT stays").select(F.col("doc_id").alias("__gone")))
     return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")

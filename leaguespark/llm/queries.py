@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join, pii, quality, secrets, toxicity
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join, pii, quality, secrets, toxicity, url_lists
 from leaguespark.llm.common import crc_mod, read, stash
 
 
@@ -17,6 +17,64 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("doc_id", F.col("__n_words").alias("n_words"), n_hit.alias("n_hit"), F.size("__item_ids").cast("long").alias("n_items"), F.sha2(F.array_join("__item_ids", ",").cast("binary"), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
+#: A small dated list, for the hosts of the driver's pages.
+URL_ENTRIES = (
+    ("gambling", "casino-win.example.com", True, "add", "2024-01-15 00:00:00"),
+    ("gambling", "casino-win.example.com", True, "remove", "2024-04-01 00:00:00"),
+    ("gambling", "casino-win.example.com", True, "add", "2024-07-10 12:00:00"),
+    ("gambling", "free-bets.example.com", True, "add", "2024-03-01 00:00:00"),
+    ("ads", "ads-track.example.com", True, "add", "2023-06-01 00:00:00"),
+    ("ads", "ads-track.example.com", True, "add", "2024-02-01 00:00:00"),
+    ("ads", "ads-track.example.com", True, "remove", "2024-11-01 00:00:00"),
+    ("spam", "spam-farm.example.com", True, "add", "2024-05-05 05:05:00"),
+    ("spam", "cheap-pills.example.com", True, "add", "2024-01-01 00:00:00"),
+    ("spam", "cheap-pills.example.com", True, "remove", "2024-01-01 00:00:00"),
+    ("spam", "cheap-pills.example.com", True, "add", "2024-08-20 00:00:00"),
+    ("adult", "adult-x.example.net", True, "add", "2024-02-29 00:00:00"),
+    ("outage", "example.net", True, "add", "2024-09-01 00:00:00"),
+    ("outage", "example.net", True, "remove", "2024-09-08 00:00:00"),
+    ("trusted", "tionsh.example.net", False, "add", "2024-09-03 00:00:00"),
+    ("trusted", "tiontion.example.net", False, "add", "2024-01-01 00:00:00"),
+    ("trusted", "tiontion.example.net", False, "remove", "2024-09-05 00:00:00"),
+)
+
+_ENTRIES_SQL = ", ".join(f"('{name}', '{host}', {blocks}, '{action}', TIMESTAMP '{at}')" for name, host, blocks, action, at in URL_ENTRIES)
+
+OP2_SQL = rf"""
+WITH entries(list, host, blocks, action, since) AS (VALUES {_ENTRIES_SQL}),
+settled AS (SELECT * FROM (SELECT *, lead(since) OVER (PARTITION BY list, host, blocks ORDER BY since, action) AS later FROM entries) WHERE later IS NULL OR later <> since),
+turned AS (SELECT * FROM (SELECT *, lag(action) OVER (PARTITION BY list, host, blocks ORDER BY since) AS before FROM settled) WHERE before IS NULL OR before <> action),
+valid AS (SELECT * FROM (SELECT *, lead(since) OVER (PARTITION BY list, host, blocks ORDER BY since) AS until FROM turned) WHERE action = 'add'),
+captures AS (
+  SELECT page_id, nullif(regexp_replace(regexp_extract(lower(url), '^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]*)', 1), '\.+$', ''), '') AS host,
+         TIMESTAMP '2024-01-01 00:00:00' + to_minutes(page_id * 7919 % 527040) AS fetched_at
+  FROM pages),
+active AS (
+  SELECT c.page_id, v.list, v.blocks, length(v.host) AS reach FROM captures c
+  JOIN valid v ON (c.host = v.host OR ends_with(c.host, '.' || v.host)) AND c.fetched_at >= v.since AND (v.until IS NULL OR c.fetched_at < v.until)),
+judged AS (
+  SELECT page_id, count(DISTINCT list) AS n, string_agg(DISTINCT list, ',' ORDER BY list) AS lists,
+         coalesce(max(reach) FILTER (blocks), 0) > coalesce(max(reach) FILTER (NOT blocks), 0) AS blocked
+  FROM active GROUP BY page_id)
+SELECT c.page_id, c.host, strftime(c.fetched_at, '%Y-%m-%d %H:%M:%S') AS fetched_at, CAST(coalesce(j.n, 0) AS BIGINT) AS n_lists,
+       coalesce(j.lists, '') AS lists, coalesce(j.blocked, false) AS blocked
+FROM captures c LEFT JOIN judged j USING (page_id)
+"""
+
+
+def url_entries(spark: SparkSession) -> DataFrame:
+    rows = spark.createDataFrame(list(URL_ENTRIES), "list string, host string, blocks boolean, action string, at string")
+    return rows.withColumn("at", F.to_timestamp("at"))
+
+
+def op2_url_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages carry no fetch time; one is derived from the page id, over the year 2024."""
+    minutes = F.col("page_id") * 7919 % 527040
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", F.timestamp_add("MINUTE", minutes.cast("int"), F.lit("2024-01-01 00:00:00").cast("timestamp")).alias("fetched_at"))
+    judged = url_lists.judge(pages, url_entries(spark))
+    return judged.select("page_id", F.col("__host").alias("host"), F.date_format("fetched_at", "yyyy-MM-dd HH:mm:ss").alias("fetched_at"), F.size("__active").cast("long").alias("n_lists"), F.array_join("__active", ",").alias("lists"), F.col("__blocked").alias("blocked"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     held_out = crc_mod("doc_id", 4) == 2
@@ -80,5 +138,18 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(kind) for kind in pii.BASE_KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))
 
 
-QUERIES = {"op8_ngram_join": op8_ngram_join, "op10_pii": op10_pii, "op4_secrets": op4_secrets, "op1_decontaminate": op1_decontaminate, "op3_language_id": op3_language_id, "op5_toxicity": op5_toxicity, "op6_mixing": op6_mixing, "op9_quality": op9_quality, "op7_exact_dedup": op7_exact_dedup}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
+    "op2_url_lists": op2_url_lists,
+    "op3_language_id": op3_language_id,
+    "op4_secrets": op4_secrets,
+    "op5_toxicity": op5_toxicity,
+    "op6_mixing": op6_mixing,
+    "op7_exact_dedup": op7_exact_dedup,
+    "op8_ngram_join": op8_ngram_join,
+    "op9_quality": op9_quality,
+    "op10_pii": op10_pii,
+}
+
+#: SQL where it can express an operator; the others are tested against brute force or held-out labels.
+ORACLES: dict[str, str] = {"op2_url_lists": OP2_SQL}
