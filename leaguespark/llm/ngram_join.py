@@ -303,7 +303,7 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, n_links (links of its set to other sets that were verified)."""
+    """One row per input row: doc_id, n_shingles, component_id."""
     small_batches(docs.sparkSession)
     keyed = _keyed(docs)
     measured = stash(keyed.mapInArrow(_measure, "k1 long, k2 long, doc_id long, n long, digest binary, counts binary, slot int"))
@@ -365,11 +365,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     named = classes.select("node", "digest", "doc_id").join(tied.withColumnRenamed("node", "t_node"), F.col("node") == F.col("t_node"), "left").select("node", "digest", "doc_id", component.alias("component"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "c_component")
-    every = links.unionByName(more)
-    degree = every.select(F.explode(F.array("a", "b")).alias("d_node")).groupBy("d_node").agg(F.count(F.lit(1)).alias("n_links"))
-    named = named.join(names, F.col("component") == F.col("c_component")).join(degree, F.col("node") == F.col("d_node"), "left").select(F.col("digest").alias("c_digest"), "component_id", "n_links")
+    named = named.join(names, F.col("component") == F.col("c_component")).select(F.col("digest").alias("c_digest"), "component_id")
     out = rows.select("doc_id", "n", "digest").join(named, F.col("digest") == F.col("c_digest"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:

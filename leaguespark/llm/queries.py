@@ -151,5 +151,40 @@ QUERIES = {
     "op10_pii": op10_pii,
 }
 
+OP1_SQL = r"""
+WITH doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+item AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+cut AS (SELECT item_id, w, least(len(w), 10) AS n, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM item WHERE len(w) > 0),
+win AS (SELECT DISTINCT item_id, n, array_to_string(list_slice(w, i, i + n - 1), ' ') AS words FROM cut),
+sizes AS (SELECT DISTINCT n FROM win),
+places AS (SELECT d.doc_id, s.n, d.w, unnest(generate_series(1, len(d.w) - s.n + 1)) AS p FROM doc d, sizes s WHERE len(d.w) >= s.n),
+found AS (SELECT DISTINCT q.doc_id, q.p, q.n, win.item_id FROM (SELECT doc_id, n, p, array_to_string(list_slice(w, p, p + n - 1), ' ') AS words FROM places) q JOIN win ON win.n = q.n AND win.words = q.words),
+hit AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, unnest(generate_series(p, p + n - 1)) AS place FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids FROM (SELECT DISTINCT doc_id, item_id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(h.n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(i.n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(i.ids, '')) AS items_sha256, coalesce(h.n_hit, 0) > 0 AS contaminated
+FROM doc d LEFT JOIN hit h USING (doc_id) LEFT JOIN items i USING (doc_id)
+"""
+
+OP7_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, CAST(count(*) OVER (PARTITION BY t) AS BIGINT) AS group_size,
+       doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
+FROM d
+"""
+
+OP8_SQL = r"""
+WITH RECURSIVE doc AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+cut AS (SELECT doc_id, w, least(len(w), 5) AS n, unnest(generate_series(1, greatest(1, len(w) - 4))) AS i FROM doc WHERE len(w) > 0),
+sh AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s FROM cut),
+size AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+pair AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+link AS (SELECT x, y FROM pair p JOIN size a ON a.doc_id = p.x JOIN size b ON b.doc_id = p.y WHERE 100 * common >= 80 * (a.n + b.n - common)),
+edge AS (SELECT x, y FROM link UNION ALL SELECT y, x FROM link),
+reach(a, b) AS (SELECT doc_id, doc_id FROM doc UNION SELECT r.a, e.y FROM reach r JOIN edge e ON e.x = r.b)
+SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, min(r.b) AS component_id
+FROM doc d LEFT JOIN size s USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, s.n
+"""
+
 #: SQL where it can express an operator; the others are tested against brute force or held-out labels.
-ORACLES: dict[str, str] = {"op2_url_lists": OP2_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_lists": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_ngram_join": OP8_SQL}
