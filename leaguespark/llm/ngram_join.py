@@ -14,8 +14,9 @@ near copies are spelled out:
    Two linked sets share a shingle of both prefixes, so a prefix shingle is a key
    under which linked nodes meet.  Common passages are last in that order and
    rarely keys.  Keys counted far above the mean are salted.
-3. Under each key the nodes are first tied to the smallest one (a star, not all
-   pairs); these few pairs are verified, and their components found.
+3. Under each key the smallest node is a center.  Each node is first compared with
+   the ``CENTERS`` centers with which it shares most keys (stars, not all pairs);
+   these few pairs are verified, and their components found.
 4. Pairs of one component need no more work.  Where nodes of several components
    share a key, a packed R-tree over their count vectors finds the rest: overlap
    is at most the sum over coordinates of the smaller count, for tree nodes of the
@@ -56,6 +57,8 @@ SLOT_CHUNK = 4096
 SALTS = 32
 BLOCK = 4096
 LEAF = 32
+#: Centers that a node is compared with before its keys are searched.
+CENTERS = 3
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -325,22 +328,23 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     salt = F.when(F.col("x.hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS)) + 1).otherwise(0).cast("int")
     keys = prefixes.select(F.col("x.tokens").alias("token"), salt.alias("salt"), "node", "n")
     together = Window.partitionBy("token", "salt")
-    shared = keys.withColumns({"center": F.min("node").over(together), "other": F.max("node").over(together)}).filter("salt > 0 OR center <> other")
-    shared = stash(shared.select("token", "salt", "node", "n", "center").distinct())
-    cold, hot = shared.filter("salt = 0"), shared.filter("salt > 0")
-    top = Window.partitionBy("token")
-    tops = hot.select("token", "center").distinct().withColumn("top", F.min("center").over(top))
-    stars = cold.select(F.col("center").alias("a"), F.col("node").alias("b")).unionByName(hot.select(F.col("center").alias("a"), F.col("node").alias("b"))).unionByName(tops.select(F.col("top").alias("a"), F.col("center").alias("b")))
-    stars = stars.filter("a <> b").distinct()
+    shared = keys.withColumns({"center": F.min(F.struct("node", "n")).over(together), "other": F.max("node").over(together)}).filter("salt > 0 OR center.node <> other")
+    shared = stash(shared.select("token", "salt", "node", "n", F.col("center.node").alias("center"), F.col("center.n").alias("center_n")).distinct())
+    # The salts' centers of a hot key meet at its own.
+    centers = shared.filter("salt > 0").select("token", "center", "center_n").distinct()
+    tops = centers.withColumn("top", F.min(F.struct("center", "center_n")).over(Window.partitionBy("token")))
+    stars = shared.select(F.col("center").alias("a"), F.col("center_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
+    stars = stars.unionByName(tops.select(F.col("top.center").alias("a"), F.col("top.center_n").alias("na"), F.col("center").alias("b"), F.col("center_n").alias("nb")))
+    stars = stars.filter("a <> b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
+    # A node tries the centers with which it shares most keys; step 4 handles what these leave open.
+    best = Window.partitionBy("b").orderBy(F.col("s").desc(), "a")
+    stars = stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("s")).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= CENTERS).select("a", "b")
 
     # The texts of all nodes that share a key, fetched once.
     involved = shared.select("node").distinct()
     wanted = classes.join(involved, "node", "left_semi").select("node", F.col("key.k1").alias("w1"), F.col("key.k2").alias("w2"))
     texts = stash(keyed.join(wanted, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))).select("node", "text").dropDuplicates(["node"]))
-    sizes = classes.join(involved, "node", "left_semi").select("node", "n")
-    sized = stars.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("node").alias("b"), F.col("n").alias("nb")), "b")
-    sized = sized.filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
-    links = stash(_verify(sized.select("a", "b"), texts))
+    links = stash(_verify(stars, texts))
     tied = connected(links)
 
     # Keys that still hold several components.
