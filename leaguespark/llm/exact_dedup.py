@@ -33,6 +33,8 @@ from leaguespark.llm.common import SPACE, stash
 
 SALTS = 8
 HOT_GROUPS = 10_000
+#: Rows to drop (48 bytes each) that are broadcast; more are joined by shuffle.
+BROADCAST_LOSERS = 500_000
 
 
 def normalised(text: Column) -> Column:
@@ -94,8 +96,18 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_di
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns: one for each different normalised text."""
-    winners = text_groups(docs).select(F.col("keep_id").alias("__keep_id"), F.col("digest").alias("__keep_digest"))
+    """The rows that stay, with all their columns: one for each different normalised text.
+
+    The decisions are narrow rows; the documents are read once more and pass by
+    them without a shuffle, as long as at most ``BROADCAST_LOSERS`` rows go.
+    """
+    decided = stash(exact_groups(docs).select("doc_id", "kept", "digest"))
+    losers = decided.filter("NOT kept").select(F.col("doc_id").alias("__lost"), F.col("digest").alias("__lost_digest")).distinct()
+    repeated = decided.filter("kept").groupBy(F.col("doc_id").alias("__twice"), F.col("digest").alias("__twice_digest")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+    few = losers.limit(BROADCAST_LOSERS + 1).count() <= BROADCAST_LOSERS
     rows = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__digest", sha256_digest(normalised(F.col("text"))))
-    kept = rows.join(winners, F.col("__id").eqNullSafe(F.col("__keep_id")) & (F.col("__digest") == F.col("__keep_digest")), "left_semi")
-    return kept.dropDuplicates(["__id", "__digest"]).drop("__id", "__digest")
+    kept = rows.join(F.broadcast(losers) if few else losers, F.col("__id").eqNullSafe(F.col("__lost")) & (F.col("__digest") == F.col("__lost_digest")), "left_anti")
+    if not repeated.isEmpty():  # rows that repeat both id and text
+        again = F.col("__id").eqNullSafe(F.col("__twice")) & (F.col("__digest") == F.col("__twice_digest"))
+        kept = kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates(["__id", "__digest"]))
+    return kept.drop("__id", "__digest")

@@ -42,7 +42,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -59,6 +59,8 @@ BLOCK = 4096
 LEAF = 32
 #: Centers that a node is compared with before its keys are searched.
 CENTERS = 3
+#: Nodes (32 bytes each) that are broadcast to the documents; more are joined by shuffle.
+BROADCAST_NODES = 200_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
 
@@ -285,6 +287,21 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from flush(held)
 
 
+def _least_shared(na: Column, nb: Column) -> Column:
+    """Shingles that both prefixes of a linked pair share: of the needed overlap, all but one set's shingles after its prefix."""
+    after = lambda n: F.ceil(n * PERCENT / 100) - 1
+    return F.ceil((na + nb) * PERCENT / (100 + PERCENT)) - F.greatest(after(na), after(nb))
+
+
+def _texts(keyed: DataFrame, classes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """(node, text) of the nodes of some pairs; the texts are shuffled only if these are many."""
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = classes.join(nodes, "node", "left_semi").select("node", F.col("key.k1").alias("w1"), F.col("key.k2").alias("w2"))
+    few = wanted.limit(BROADCAST_NODES + 1).count() <= BROADCAST_NODES
+    found = keyed.join(F.broadcast(wanted) if few else wanted, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))).select("node", "text")
+    return stash(found).dropDuplicates(["node"])
+
+
 def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) that link, by their sets."""
 
@@ -336,15 +353,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = shared.select(F.col("center").alias("a"), F.col("center_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
     stars = stars.unionByName(tops.select(F.col("top.center").alias("a"), F.col("top.center_n").alias("na"), F.col("center").alias("b"), F.col("center_n").alias("nb")))
     stars = stars.filter("a <> b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
-    # A node tries the centers with which it shares most keys; step 4 handles what these leave open.
+    # A node tries the centers with which it shares most keys, if it is a good part of
+    # what a link needs; step 4 handles what these leave open.
     best = Window.partitionBy("b").orderBy(F.col("s").desc(), "a")
-    stars = stars.groupBy("a", "b").agg(F.count(F.lit(1)).alias("s")).withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= CENTERS).select("a", "b")
+    stars = stars.groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("s")).filter(F.col("s") * 4 >= _least_shared(F.col("na"), F.col("nb")))
+    stars = stash(stars.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= CENTERS).select("a", "b"))
 
-    # The texts of all nodes that share a key, fetched once.
-    involved = shared.select("node").distinct()
-    wanted = classes.join(involved, "node", "left_semi").select("node", F.col("key.k1").alias("w1"), F.col("key.k2").alias("w2"))
-    texts = stash(keyed.join(wanted, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2"))).select("node", "text").dropDuplicates(["node"]))
-    links = stash(_verify(stars, texts))
+    links = stash(_verify(stars, _texts(keyed, classes, stars)))
     tied = connected(links)
 
     # Keys that still hold several components.
@@ -359,11 +374,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pointed = mixed.join(points, F.col("node") == F.col("p_node")).select("token", F.least("own", "peer").alias("i"), F.greatest("own", "peer").alias("j"), "own", "node", "component", "n", "counts")
     dealt = pointed.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j")
     rest = dealt.mapInArrow(_rest_pairs, "a long, b long, na long, nb long").groupBy("a", "b", "na", "nb").agg(F.count(F.lit(1)).alias("s"))
-    # Of the needed overlap, all but one set's shingles after its prefix must lie in both prefixes.
-    after = lambda n: F.ceil(n * PERCENT / 100) - 1
-    enough = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100 + PERCENT)) - F.greatest(after(F.col("na")), after(F.col("nb")))
-    rest = rest.filter(F.col("s") >= enough).select("a", "b")
-    more = stash(_verify(rest, texts))
+    rest = stash(rest.filter(F.col("s") >= _least_shared(F.col("na"), F.col("nb"))).select("a", "b"))
+    more = stash(_verify(rest, _texts(keyed, classes, rest)))
     if not more.isEmpty():
         tied = connected(tied.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
 
