@@ -14,9 +14,11 @@ near copies are spelled out:
    Two linked sets share a shingle of both prefixes, so a prefix shingle is a key
    under which linked nodes meet.  Common passages are last in that order and
    rarely keys.  Keys counted far above the mean are salted.
-3. Under each key the smallest node is a center.  Each node is first compared with
-   the ``CENTERS`` centers with which it shares most keys (stars, not all pairs);
-   these few pairs are verified, and their components found.
+3. Under each key one node is the center: the one whose prefix is the most common,
+   for copies that were changed have shingles of their own there, which the text
+   they stem from has not (ties: the smallest node).  Each node is first compared
+   with the ``CENTERS`` centers with which it shares most keys (stars, not all
+   pairs); these few pairs are verified, and their components found.
 4. Pairs of one component need no more work.  Where nodes of several components
    share a key, a packed R-tree over their count vectors finds the rest: overlap
    is at most the sum over coordinates of the smaller count, for tree nodes of the
@@ -51,7 +53,7 @@ from leaguespark.llm.components import connected
 
 WORDS = 5
 PERCENT = 80
-GROUPS = 64
+GROUPS = 256
 SLOTS = 1 << 20
 SLOT_CHUNK = 4096
 SALTS = 32
@@ -111,7 +113,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             found = shingles(text.as_py())
             n.append(len(found))
             digests.append(xxhash.xxh3_128_digest(found.tobytes()))
-            points.append(np.bincount((found % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS).astype(np.uint32).tobytes())
+            points.append(_narrowest(np.bincount((found % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)).tobytes())
             waiting.append(found)
         if waiting:
             slots += np.bincount((np.concatenate(waiting) >> np.uint64(20)).astype(np.int64) % SLOTS, minlength=SLOTS)
@@ -140,14 +142,14 @@ def slot_counts(measured: DataFrame) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, slots: np.ndarray) -> DataFrame:
-    """(digest, n, tokens, hot): each set's rarest shingles and which of them are hot keys; equal sets once a task."""
+    """(digest, n, weight, tokens, hot): each set's rarest shingles, how common these are, and which of them are hot keys; equal sets once a task."""
     hot_from = 8 * slots.mean() + 4096
     shared = docs.sparkSession.sparkContext.broadcast(np.minimum(slots, (1 << 32) - 1).astype(np.uint32))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            digests, sizes, tokens, hot = [], [], [], []
+            digests, sizes, weights, tokens, hot = [], [], [], [], []
             for text in batch.column(0):
                 found = shingles(text.as_py())
                 digest = xxhash.xxh3_128_digest(found.tobytes())
@@ -158,11 +160,12 @@ def _prefixes(docs: DataFrame, slots: np.ndarray) -> DataFrame:
                 first = np.argsort(rarity, kind="stable")[: prefix_length(len(found))]  # ties by hash
                 digests.append(digest)
                 sizes.append(len(found))
+                weights.append(int(1000 * np.log2(1.0 + rarity[first]).mean()))
                 tokens.append(found[first].astype(np.int64))
                 hot.append(rarity[first] > hot_from)
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.bool_()))], ["digest", "n", "tokens", "hot"])
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), pa.array(sizes, pa.int64()), pa.array(weights, pa.int32()), pa.array(tokens, pa.list_(pa.int64())), pa.array(hot, pa.list_(pa.bool_()))], ["digest", "n", "weight", "tokens", "hot"])
 
-    return docs.select(F.col("text").cast("string")).mapInArrow(emit, "digest binary, n long, tokens array<long>, hot array<boolean>")
+    return docs.select(F.col("text").cast("string")).mapInArrow(emit, "digest binary, n long, weight int, tokens array<long>, hot array<boolean>")
 
 
 def needed_overlap(a, b):
@@ -261,7 +264,8 @@ def _rest_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def columns(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         out = {name: batch.column(name).to_numpy(zero_copy_only=False) for name in ("token", "i", "j", "own", "node", "component", "n")}
-        out["points"] = np.frombuffer(b"".join(batch.column("counts").to_pylist()), np.uint32).reshape(-1, GROUPS).astype(np.int64)
+        # A point's numbers are as wide as its largest one needs.
+        out["points"] = np.array([np.frombuffer(raw, f"u{len(raw) // GROUPS}") for raw in batch.column("counts").to_pylist()], np.int64).astype(np.int32)
         return out
 
     def flush(rows: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
@@ -341,15 +345,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         seed += 1
 
     # Keys: prefix shingles, salted where hot.
-    prefixes = _prefixes(docs, slots).select(node.alias("node"), "n", F.explode(F.arrays_zip("tokens", "hot")).alias("x"))
+    prefixes = _prefixes(docs, slots).select(node.alias("node"), "n", "weight", F.explode(F.arrays_zip("tokens", "hot")).alias("x"))
     salt = F.when(F.col("x.hot"), F.pmod(F.xxhash64("node"), F.lit(SALTS)) + 1).otherwise(0).cast("int")
-    keys = prefixes.select(F.col("x.tokens").alias("token"), salt.alias("salt"), "node", "n")
+    keys = prefixes.select(F.col("x.tokens").alias("token"), salt.alias("salt"), "node", "n", "weight")
     together = Window.partitionBy("token", "salt")
-    shared = keys.withColumns({"center": F.min(F.struct("node", "n")).over(together), "other": F.max("node").over(together)}).filter("salt > 0 OR center.node <> other")
-    shared = stash(shared.select("token", "salt", "node", "n", F.col("center.node").alias("center"), F.col("center.n").alias("center_n")).distinct())
+    shared = keys.withColumns({"center": F.min(F.struct((-F.col("weight")).alias("light"), "node", "n")).over(together), "low": F.min("node").over(together), "high": F.max("node").over(together)}).filter("salt > 0 OR low <> high")
+    shared = stash(shared.select("token", "salt", "node", "n", F.col("center.node").alias("center"), F.col("center.n").alias("center_n"), F.col("center.light").alias("light")).distinct())
     # The salts' centers of a hot key meet at its own.
-    centers = shared.filter("salt > 0").select("token", "center", "center_n").distinct()
-    tops = centers.withColumn("top", F.min(F.struct("center", "center_n")).over(Window.partitionBy("token")))
+    centers = shared.filter("salt > 0").select("token", "center", "center_n", "light").distinct()
+    tops = centers.withColumn("top", F.min(F.struct("light", "center", "center_n")).over(Window.partitionBy("token")))
     stars = shared.select(F.col("center").alias("a"), F.col("center_n").alias("na"), F.col("node").alias("b"), F.col("n").alias("nb"))
     stars = stars.unionByName(tops.select(F.col("top.center").alias("a"), F.col("top.center_n").alias("na"), F.col("center").alias("b"), F.col("center_n").alias("nb")))
     stars = stars.filter("a <> b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * PERCENT)
