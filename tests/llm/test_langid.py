@@ -59,3 +59,22 @@ def test_no_labels(spark):
     models = langid.fit(empty)
     assert [(r["__lang"], r["__rejected"]) for r in langid.identify(empty, models).collect()] == [("und", True)]
     assert langid.identify(empty.limit(0), models).count() == 0
+
+
+def test_order_and_predictions_do_not_depend_on_the_number_of_ngrams(spark, models, monkeypatch):
+    labelled = spark.createDataFrame(corpus(1, 200), "doc_id long, text string, lang string")
+    docs = spark.createDataFrame([*corpus(2, 60), (900, None, None), (901, "12", None), (903, "wwwk ggpf hjjdd ccvv kkwwg pphh", None)], "doc_id long, text string, lang string")
+    want = {r.doc_id: r for r in langid.identify(docs, models).collect()}
+    monkeypatch.setattr(langid, "MAX_NGRAMS", 60, raising=False)  # an earlier form lowered the order beyond so many
+    for cells in (1500, 150):  # a language to each part, and several parts of a language
+        monkeypatch.setattr(langid, "PART_CELLS", cells, raising=False)
+        small = langid.fit(labelled)
+        assert small.order == langid.ORDER
+        got = {r.doc_id: r for r in langid.identify(docs, small).collect()}
+        assert got.keys() == want.keys()
+        for i, r in want.items():
+            assert (got[i]["__lang"], got[i]["__rejected"]) == (r["__lang"], r["__rejected"])
+            assert got[i]["__score"] == pytest.approx(r["__score"], rel=1e-6)
+            assert got[i]["__entropy"] == pytest.approx(r["__entropy"], rel=1e-6, nan_ok=True)
+        assert np.allclose(small.moments, models.moments, rtol=1e-9)
+    assert len(small.parts) > len(small.langs)
