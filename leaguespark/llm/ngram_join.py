@@ -97,10 +97,15 @@ def _narrowest(counts: np.ndarray) -> np.ndarray:
     return counts.astype(next(t for t in (np.uint8, np.uint16, np.uint32, np.uint64) if counts.max(initial=0) <= np.iinfo(t).max))
 
 
+def _key(doc_id: Column, text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(doc_id, text), F.xxhash64(F.lit(1), text, doc_id)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """(k1, k2, doc_id, text): a row's key follows from its id and text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.select(F.xxhash64("doc_id", "text").alias("k1"), F.xxhash64(F.lit(1), "text", "doc_id").alias("k2"), "doc_id", "text")
+    k1, k2 = _key(F.col("doc_id"), F.col("text"))
+    return rows.select(k1.alias("k1"), k2.alias("k2"), "doc_id", "text")
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -326,8 +331,8 @@ def _verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return both.select("a", "b", "left", "right").mapInArrow(check, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id."""
+def _placed(docs: DataFrame) -> DataFrame:
+    """One row per input row: doc_id, its key (k1, k2), n, component (null without words) and component_id."""
     small_batches(docs.sparkSession)
     keyed = _keyed(docs)
     measured = stash(keyed.mapInArrow(_measure, "k1 long, k2 long, doc_id long, n long, digest binary, counts binary, slot int"))
@@ -385,13 +390,26 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     named = classes.select("node", "digest", "doc_id").join(tied.withColumnRenamed("node", "t_node"), F.col("node") == F.col("t_node"), "left").select("node", "digest", "doc_id", component.alias("component"))
     names = named.groupBy("component").agg(F.min("doc_id").alias("component_id")).withColumnRenamed("component", "c_component")
-    named = named.join(names, F.col("component") == F.col("c_component")).select(F.col("digest").alias("c_digest"), "component_id")
-    out = rows.select("doc_id", "n", "digest").join(named, F.col("digest") == F.col("c_digest"), "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    named = named.join(names, F.col("component") == F.col("c_component")).select(F.col("digest").alias("c_digest"), "component", "component_id")
+    out = rows.select("doc_id", "k1", "k2", "n", "digest").join(named, F.col("digest") == F.col("c_digest"), "left")
+    return out.select("doc_id", "k1", "k2", "n", "component", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id."""
+    return _placed(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
 
 
 def keep_representatives(docs: DataFrame) -> DataFrame:
-    """One document of each group of near duplicates, the one with the smallest id, unchanged; rows without an id stay."""
-    named = near_duplicates(docs).filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.bool_or(F.col("doc_id") == F.col("component_id")).alias("stays"))
-    gone = stash(named.filter("NOT stays").select(F.col("doc_id").alias("__gone")))
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    """One row of each group of near duplicates, unchanged: the one with the smallest id (null last; ties by key); rows without words stay."""
+    rows = stash(_placed(docs).filter("component IS NOT NULL").select("doc_id", "k1", "k2", "component"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("first")
+    stays = stash(rows.groupBy("component").agg(first).select("first.k1", "first.k2"))
+    gone = stash(rows.join(stays, ["k1", "k2"], "left_anti").select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct())
+    repeated = stash(rows.join(stays, ["k1", "k2"], "left_semi").groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n"))
+    key = ["__k1", "__k2"]
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
+    kept = docs.withColumns({"__k1": _key(doc_id, text)[0], "__k2": _key(doc_id, text)[1]}).join(gone, key, "left_anti")
+    if not repeated.isEmpty():  # rows that repeat both id and text
+        kept = kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates(key))
+    return kept.select(*docs.columns)

@@ -126,3 +126,23 @@ def test_connected_components(spark):
     got = {r.node: r.component for r in connected(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent if x != 1 and any(a != b and x in (a, b) for a, b in links)}
     assert connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_representatives_are_rows(spark, prose):
+    a, b, c, d = prose(4, 60)
+    near = lambda t: " ".join([*t.split()[:-1], "changed"])
+    table = [
+        (None, a), (None, near(a)),  # near copies without an id: one stays
+        (7, b), (7, near(b)),  # under one id: one stays
+        (3, c), (9, near(c)), (9, d),  # 9's other text names its own component
+        (5, prose(1, 60, seed=8)[0]), (5, prose(1, 60, seed=8)[0]),  # repeated rows
+        (None, ""), (None, None), (1, " "),  # no words: no copies
+    ]
+    docs = spark.createDataFrame(table, "doc_id int, text string")
+    kept = nj.keep_representatives(docs)
+    got = [tuple(r) for r in kept.collect()]
+    assert kept.columns == docs.columns
+    assert sorted(i for i, t in got if i is not None) == [1, 3, 5, 7, 9]
+    assert sum(i is None for i, _ in got) == 3
+    assert (3, c) in got and (9, d) in got
+    assert set(got) <= set(table)
