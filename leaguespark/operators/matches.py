@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Subscriptions to all that are sent to the tasks as one array; more are joined by SALTS * SALTS keys.
+MOST_TO_ALL = 100_000
+SALTS = 16
+
 
 def star(tables: dict[str, DataFrame]) -> DataFrame:
     """Matches with both teams, poule, phase and competition (inner), clubs by structure or carrier, halls and equipment (left).
@@ -99,6 +103,18 @@ def match_events(old: DataFrame, new: DataFrame) -> DataFrame:
     return changed.select(F.col("id").alias("match_id"), kind.alias("kind"), "equipe_dom_id", "equipe_ext_id", F.to_json(F.struct(F.col("id"), F.col("is.*"))).alias("payload"))
 
 
+def _to_all(events: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Every event with every subscription; the events stay where they are, or are dealt evenly where the subscriptions are many."""
+    if subscriptions.limit(MOST_TO_ALL + 1).count() <= MOST_TO_ALL:
+        array = subscriptions.agg(F.collect_list(F.struct("subscription_id")).alias("subscribers"))
+        return events.crossJoin(F.broadcast(array)).select("match_id", "kind", F.inline("subscribers"))
+    own = lambda *cols: F.pmod(F.xxhash64(*cols), F.lit(SALTS))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+    left = events.withColumn("i", own("match_id", "kind")).withColumn("j", every)
+    right = subscriptions.withColumn("j", own("subscription_id")).withColumn("i", every)
+    return left.join(right, ["i", "j"]).select("match_id", "kind", "subscription_id")
+
+
 def deliveries(events: DataFrame, subscriptions: DataFrame, clubs_of_team: DataFrame) -> DataFrame:
     """One delivery for each event and active subscription: to all, or to a club that plays."""
     active = subscriptions.filter("actif")
@@ -106,7 +122,7 @@ def deliveries(events: DataFrame, subscriptions: DataFrame, clubs_of_team: DataF
     teams = events.select("match_id", "kind", F.explode(F.array("equipe_dom_id", "equipe_ext_id")).alias("equipe_id"))
     clubs = teams.join(clubs_of_team, "equipe_id").select("match_id", "kind", "club_id").distinct()
     by_club = clubs.join(active.filter("club_id IS NOT NULL"), "club_id").select("match_id", "kind", "subscription_id")
-    everywhere = events.select("match_id", "kind", F.lit(1).alias("one")).join(for_all.withColumn("one", F.lit(1)), "one").drop("one")
+    everywhere = _to_all(events.select("match_id", "kind"), for_all)
     return everywhere.unionByName(by_club).distinct()
 
 
