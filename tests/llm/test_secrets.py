@@ -1,7 +1,10 @@
+import hashlib
 import random
 import re
+import time
 
 from leaguespark.llm import secrets
+from leaguespark.llm.queries import QUERIES
 
 BASE = (
     re.compile(r"""(?a:(?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""),
@@ -18,19 +21,35 @@ def brute(text):
     return sorted(found)
 
 
-def test_base_spans_equal_plain_expressions(spark, documents):
+def plain(raw):
+    """All kinds by Python's own engine, in code points."""
+    found = []
+    for kind, (_, pattern, group, least) in enumerate(secrets.RULES):
+        for m in re.finditer(pattern, raw):
+            if len(m[group]) >= least:
+                found.append((len(raw[: m.start()].decode()), kind, len(raw[: m.end()].decode())))
+    return sorted(found)
+
+
+def test_spans_equal_plain_expressions():
     rnd = random.Random(4)
-    scanner = secrets.Scanner()
-    for _ in range(3000):
+    scanner = secrets.scanner()
+    for _ in range(5000):
         text = "".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 25)))
         spans = scanner.spans(text.encode())
         assert [s for s in spans if s[1] < secrets.BASE] == brute(text)
-        full = []
-        for kind, (pattern, group, least) in enumerate(scanner.exact):  # every kind, not only the base ones
-            for m in pattern.finditer(text.encode()):
-                if len(m[group]) >= least:
-                    full.append((len(text.encode()[: m.start()].decode()), kind, len(text.encode()[: m.end()].decode())))
-        assert spans == sorted(full)
+        assert spans == plain(text.encode())
+
+
+def test_time_follows_the_length_of_endless_lines():
+    scanner = secrets.scanner()
+    for piece in (b"a://b", b"eyJ", b"token=", b"a://b:c@", b"deadbeef"):
+        begun = time.process_time()
+        scanner.spans(piece * (100_000 // len(piece)))
+        short = time.process_time() - begun
+        begun = time.process_time()
+        scanner.spans(piece * (1_000_000 // len(piece)))
+        assert time.process_time() - begun < 40 * short + 1
 
 
 def test_scan_of_a_table(spark, documents):
@@ -45,7 +64,25 @@ def test_scan_of_a_table(spark, documents):
     assert secrets.scan(documents([])).count() == 0
 
 
-def test_automaton_is_minimal_and_reads_once():
-    small = secrets.Automaton([b"ab+c", b"abbbc|x"])
-    assert small.states <= small.subsets
-    assert small.marked_lines(b"zzabbbbc\nq\nabbbc") == [(0, 8, 1), (11, 16, 3)]
+def test_automaton_is_minimal_and_ends_are_right():
+    rules = (("x", b"ab+c", 0, 0), ("y", b"abbbc|x", 0, 0))
+    small = secrets.Scanner(rules)
+    assert small.automaton.states <= small.automaton.subsets
+    assert small.spans(b"zzabbbbc\nq\nabbbc x") == [(2, 0, 8), (11, 0, 16), (11, 1, 16), (17, 1, 18)]
+
+
+def test_registered_query_equals_brute_force(spark, tmp_path):
+    rnd = random.Random(14)
+    texts = [None, "", "token=abcdefghijkl " * 300] + ["".join(rnd.choice(PARTS) for _ in range(rnd.randint(0, 30))) for _ in range(150)]
+    texts += texts[3:6]
+    spark.createDataFrame([(i, t, "x") for i, t in enumerate(texts)], "doc_id long, text string, __secrets string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r for r in QUERIES["op4_secrets"](spark, str(tmp_path)).collect()}
+    assert len(found) == len(texts)
+    for i, text in enumerate(texts):
+        spans = plain((text or "").encode())
+        joined = lambda rows: ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in rows)
+        base = brute(text or "")
+        row = found[i]
+        assert (row.n_assign, row.n_access, row.n_hex) == tuple(sum(k == kind for _, k, _ in base) for kind in range(3))
+        assert row.base_sha256 == hashlib.sha256(joined(base).encode()).hexdigest()
+        assert row.spans == joined(spans)
