@@ -135,7 +135,9 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(read(spark, sf_dir, "documents"))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select("doc_id", *[count(kind) for kind in pii.BASE_KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), _joined(F.concat("base", "added")).alias("spans"))
+    likely = (F.size(F.filter("base", lambda x: x["likely"])) + F.size("added")).cast("long")
+    spans = F.array_join(F.concat(F.transform("base", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), F.transform("added", lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"]))), ",")
+    return found.select("doc_id", *[count(kind) for kind in pii.BASE_KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), likely.alias("n_likely"))
 
 
 QUERIES = {
