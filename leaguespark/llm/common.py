@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,9 +23,11 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a folder of its own only where none is set, as in tests."""
+    """The cluster's shared folder; a folder of its own only where none is set and all runs on one machine, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="leaguespark-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -49,6 +54,23 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def release(shared: Broadcast) -> None:
+    """Drop the value from memory; it is read again from the broadcast's local file when asked for."""
+    vars(shared).pop("_value", None)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of at least so many bytes."""
+    group: list[pa.RecordBatch] = []
+    for batch in batches:
+        group.append(batch)
+        if sum(b.nbytes for b in group) >= least:
+            yield group
+            group = []
+    if group:
+        yield group
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 

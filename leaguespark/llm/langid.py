@@ -42,7 +42,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import small_batches, stash
+from leaguespark.llm.common import gathered, release, small_batches, stash
 
 ORDER = 4
 #: N-grams times languages of one part of the models.
@@ -247,11 +247,6 @@ class LanguageModels:
         return self.langs[best], float(score), float(entropies[best]), bool(entropies[best] > limit)
 
 
-def release(shared: Broadcast) -> None:
-    """Drop the value from memory; it is read again from the broadcast's local file when asked for."""
-    vars(shared).pop("_value", None)
-
-
 def plan_parts(levels: DataFrame, sizes: dict[str, int]) -> Iterator[tuple[list[str], int, int]]:
     """(languages, lo, hi): whole languages together, or a range of pairs of a large one."""
     together: list[str] = []
@@ -312,17 +307,6 @@ def fit(labelled: DataFrame, order: int = ORDER) -> LanguageModels:
     return LanguageModels(order, langs, parts, [moments[lang] for lang in langs])
 
 
-def _gathered(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[list[pa.RecordBatch]]:
-    group: list[pa.RecordBatch] = []
-    for batch in batches:
-        group.append(batch)
-        if sum(b.nbytes for b in group) >= least:
-            yield group
-            group = []
-    if group:
-        yield group
-
-
 def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
     """The documents' columns, and __lang, __score, __entropy and __rejected."""
     spark = docs.sparkSession
@@ -333,7 +317,7 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at_text = names.index("text")
-        for group in _gathered(batches, TOGETHER if len(models.parts) > 1 else 0):
+        for group in gathered(batches, TOGETHER if len(models.parts) > 1 else 0):
             found = iter(models.decide([text for batch in group for text in batch.column(at_text)]))
             for batch in group:
                 own = [next(found) for _ in range(batch.num_rows)]
