@@ -4,7 +4,7 @@ Each source gets a share of a budget of ``EPOCHS`` times all tokens, by weight,
 but never more than ``CAP`` times its own tokens; what a stopped source leaves is
 shared again by weight.  The rate of a source is its target over its tokens.  A
 document is emitted floor(rate) times, and once more if a number in [0, 1) hashed
-from its id, its text and the seed is below the fraction of the rate.
+from its id, its size and the seed is below the fraction of the rate.
 
 Sources are aggregated before anything is shuffled, so a source with a third of
 all rows is one row from each task.  Weights go round by the rank of the source
@@ -14,7 +14,8 @@ found by aggregates alone (one number a round goes to the driver).
 
 Defined cases: null text has size 0; a null source is a source; sources whose
 size is 0 have target 0; rows are taken as they are, repeated ones too (equal rows
-share one decision); an empty table gives an empty result.
+share one decision); an empty table gives an empty result; a column ``copy`` of the
+documents is replaced, all others are kept.
 """
 
 from __future__ import annotations
@@ -68,18 +69,23 @@ def copies(rate: Column, *identity: Column) -> Column:
     return (whole + (unit_hash(F.lit(SEED), *identity) < rate - whole).cast("long")).cast("long")
 
 
+def _with_targets(rows: DataFrame, targets: DataFrame, key: str) -> DataFrame:
+    """Rows joined with their source's target; a larger table of sources meets salted rows, so that a hot source is dealt over tasks."""
+    own = F.col("source").cast("string").eqNullSafe(F.col(key))
+    if targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
+        return rows.join(F.broadcast(targets), own)
+    salted = targets.withColumn("__t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    dealt = rows.withColumn("__salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    return dealt.join(salted, own & (F.col("__salt") == F.col("__t_salt"))).drop("__salt", "__t_salt")
+
+
 def mix_plan(docs: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies and ``extra`` columns."""
     extra = extra or []
     sized = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), count_words(F.col("text")).alias("size"))
     # The sizes are needed twice, and the texts only once.
     sized = stash(sized)
-    targets = source_targets(sized.select("source", "size")).withColumnRenamed("source", "t_source")
-    if targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        joined = sized.join(F.broadcast(targets), F.col("source").eqNullSafe(F.col("t_source")))
-    else:
-        salts = targets.withColumn("t_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = sized.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salts, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("salt") == F.col("t_salt")))
+    joined = _with_targets(sized, source_targets(sized.select("source", "size")).withColumnRenamed("source", "t_source"), "t_source")
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     return joined.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", copies(rate, F.col("doc_id"), F.col("size")).alias("copies"))
 
@@ -88,7 +94,6 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     """The documents as often as the mix takes them, with a column ``copy`` counting from 0."""
     sized = docs.select(F.col("source").cast("string").alias("source"), count_words(F.col("text")).alias("size"))
     targets = source_targets(sized).select(F.col("source").alias("__source"), F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0).alias("__rate"))
-    few = targets.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    joined = docs.join(F.broadcast(targets) if few else targets, F.col("source").cast("string").eqNullSafe(F.col("__source")))
+    joined = _with_targets(docs.drop("copy"), targets, "__source")
     n = copies(F.col("__rate"), F.col("doc_id").cast("long"), count_words(F.col("text")))
     return joined.withColumn("__n", n).filter("__n > 0").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__n") - 1))).drop("__source", "__rate", "__n")
