@@ -10,7 +10,7 @@ it positive definite; its Cholesky factor is computed once and kept.  The score
 
     sigmoid((log density of class 1 - log density of class 0) * TEMPERATURE + log prior odds)
 
-where the Mahalanobis distances come from triangular solves with the factors.
+where the Mahalanobis distances come from the factors' inverses, taken once as well.
 
 Defined cases: null and empty texts have all statistics 0 and are scored like any
 other; null labels are not learned from; with labels of one class only the score
