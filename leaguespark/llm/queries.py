@@ -115,7 +115,8 @@ def _labels(spark: SparkSession, sf_dir: str, column: str) -> DataFrame:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = toxicity.fit(docs.join(_labels(spark, sf_dir, "toxic"), F.col("doc_id") == F.col("label_id")).select("text", "label"))
+    keyed = toxicity.with_keys(docs)
+    model = toxicity.fit(keyed.select("doc_id", "__h1", "__h2").join(_labels(spark, sf_dir, "toxic"), F.col("doc_id") == F.col("label_id")), keyed)
     scored = toxicity.score(docs.withColumn("held_out", crc_mod("doc_id", 5) == 0), model)
     return scored.select("doc_id", "held_out", F.col("__score").alias("score"), (F.col("__score") >= 0.5).cast("int").alias("predicted"))
 

@@ -9,9 +9,11 @@ values scaled to length one.  The machine is
 so that a pair of terms, such as an insult with a group it is aimed at, has a
 weight of its own (the product of two factor rows), which additive weights miss.
 
-Training takes at most about ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` labelled rows,
-chosen by a hash (a documented bound on the fit alone).  Spark holds the hashed
-rows in ``PARTS`` groups; in each round every group takes one AdaGrad pass from
+Training takes at most ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` labelled texts, chosen
+by a hash (a documented bound on the fit alone).  Labels and hashes of the texts are
+grouped first, so a text that stands in many rows is one text of each label it has,
+and a group of copies can't fill the sample; only the chosen texts are fetched.
+Spark holds the hashed rows in ``PARTS`` groups; in each round every group takes one AdaGrad pass from
 the shared weights, and each weight becomes the mean over the groups that changed
 it.  Terms in fewer than ``MIN_ROWS`` training rows are left out.  A share of the
 rows is kept from training and calibrates the logit (slope and intercept, by
@@ -20,7 +22,8 @@ scored, over its whole text.
 
 Defined cases: null and wordless texts have no terms and score the intercept;
 null labels are not learned from; without labels of both classes the score is the
-share of label 1 (0 without labels); repeated rows count as often as they stand;
+share of label 1 (0 without labels); repeated rows are learned from once and scored
+alike; an existing column ``__score`` is replaced; an empty table is scored as empty;
 labels, lang, source and doc_id are never inputs of a score.
 """
 
@@ -123,24 +126,42 @@ class FactorizationMachine:
             self.slope, self.intercept = float(theta[0]), float(theta[1])
 
 
-def training_rows(labelled: DataFrame) -> tuple[DataFrame, dict[int, float]]:
-    """(u, label, terms) of the chosen rows of (text, label), and the rate at which each label was taken."""
-    u = unit_hash(F.coalesce(F.col("text"), F.lit("")), F.lit(SEED))
-    rows = labelled.select(F.col("text").cast("string").alias("text"), F.col("label").cast("int").alias("label")).filter("label IN (0, 1)")
-    found = {r.label: r.n for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    rates = {label: min(1.0, most / found[label]) for label, most in ((0, MAX_NEGATIVE), (1, MAX_POSITIVE)) if label in found}
-    rows = rows.withColumn("u", u)
-    take = F.lit(False)
-    for label, rate in rates.items():
-        take = take | ((F.col("label") == label) & (F.col("u") < rate))
+def with_keys(docs: DataFrame) -> DataFrame:
+    """The columns, and __h1 and __h2, by which equal texts are one."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.withColumns({"__h1": F.xxhash64(text), "__h2": F.xxhash64(F.lit(1), text)})
+
+
+def choose(labelled: DataFrame) -> tuple[DataFrame, dict[int, float]]:
+    """(h1, h2, label, u) of the chosen texts, and the rate at which each label was taken; labelled: __h1, __h2, label."""
+    rows = labelled.select(F.col("__h1").alias("h1"), F.col("__h2").alias("h2"), F.col("label").cast("int").alias("label")).filter("label IN (0, 1)")
+    texts = stash(rows.distinct().withColumn("u", unit_hash("h1", "h2", F.lit(SEED))))
+    found = {r.label: r.n for r in texts.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen, rates = texts.limit(0), {}
+    for label, most in ((0, MAX_NEGATIVE), (1, MAX_POSITIVE)):
+        if label in found:
+            rates[label] = min(1.0, most / found[label])
+            # The first by hash; what can't be among them is left out before they are ordered.
+            near = texts.filter((F.col("label") == label) & (F.col("u") < 1.2 * rates[label]))
+            chosen = chosen.unionByName(near.orderBy("u", "h1", "h2").limit(most))
+    return stash(chosen), rates
+
+
+def training_rows(texts: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(u, label, terms) of the chosen texts; texts: text, __h1, __h2."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple] = set()  # at most as many as are chosen
         for batch in batches:
-            terms = [terms_of(t.as_py()) for t in batch.column(2)]
-            yield pa.record_batch([batch.column(0), batch.column(1), pa.array(terms, pa.list_(pa.int32()))], ["u", "label", "terms"])
+            keys = list(zip(*(batch.column(i).to_pylist() for i in (2, 3, 1)), strict=True))
+            new = [i for i, key in enumerate(keys) if key not in seen and not seen.add(key)]
+            terms = [terms_of(batch.column(4)[i].as_py()) for i in new]
+            yield pa.RecordBatch.from_arrays([*(c.take(pa.array(new, pa.int64())) for c in batch.columns[:4]), pa.array(terms, pa.list_(pa.int32()))], ["u", "label", "h1", "h2", "terms"])
 
-    chosen = rows.filter(take).select("u", "label", "text")
-    return stash(chosen.mapInArrow(hashed, "u double, label int, terms array<int>")), rates
+    few = F.broadcast(chosen)  # at most MAX_POSITIVE + MAX_NEGATIVE rows of 28 bytes
+    rows = texts.select("__h1", "__h2", F.col("text").cast("string").alias("text")).join(few, (F.col("__h1") == F.col("h1")) & (F.col("__h2") == F.col("h2")))
+    found = rows.select("u", "label", "h1", "h2", "text").mapInArrow(hashed, "u double, label int, h1 long, h2 long, terms array<int>")
+    return stash(found).dropDuplicates(["h1", "h2", "label"]).select("u", "label", "terms")
 
 
 def _rows_of(table: pa.Table) -> list[tuple[np.ndarray, int]]:
@@ -163,11 +184,17 @@ def _learner(shared, turn: int):
     return learn
 
 
-def fit(labelled: DataFrame) -> FactorizationMachine:
-    """A calibrated machine from rows of (text, label)."""
+def fit(labelled: DataFrame, texts: DataFrame | None = None) -> FactorizationMachine:
+    """A calibrated machine from rows of (text, label).
+
+    ``texts`` are the rows to fetch the chosen texts from, if not the labelled ones;
+    both then carry ``with_keys``, so that a join with labels moves no texts.
+    """
     spark = labelled.sparkSession
     small_batches(spark)
-    sample, rates = training_rows(labelled)
+    labelled = labelled if "__h1" in labelled.columns else with_keys(labelled)
+    chosen, rates = choose(labelled)
+    sample = stash(training_rows(labelled if texts is None else texts, chosen))
     model = FactorizationMachine()
     if set(rates) != {0, 1}:
         model.slope, model.intercept = 0.0, 500.0 if set(rates) == {1} else -500.0
@@ -218,6 +245,7 @@ def fit(labelled: DataFrame) -> FactorizationMachine:
 
 def score(docs: DataFrame, model: FactorizationMachine) -> DataFrame:
     """The documents' columns and __score."""
+    docs = docs.drop("__score")
     small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = docs.columns
