@@ -11,15 +11,17 @@ one window).  Document words inside any occurrence of a window are hit.
    pass the bounds 0 <= p - o and p - o + n <= words of the document.
 3. The words of that place are compared with the window, so the result is exact.
 
-The benchmark's windows go to the tasks in blocks of at most ``BLOCK_BYTES``
-(a larger benchmark takes several passes, joined in the rows themselves), so what
-is broadcast is bounded whatever the benchmark's size.  Documents are never
-shuffled; memory follows the Arrow batch.
-
-Defined cases: null and wordless texts have no words and no hits; null or empty
-items have no windows; an item repeated under several ids counts once for each
-id; equal ids count once; documents may repeat (each row is answered); an empty
-benchmark hits nothing; other columns are ignored or kept, never read.
+The benchmark's windows go to the tasks in blocks of at most ``BLOCK_BYTES``, each
+broadcast by itself.  The documents are read twice whatever the benchmark's size:
+once to count words, once to find hits; where there are several blocks, a task takes
+``TOGETHER`` bytes of texts through them one after the other and holds one block at a
+time.  Documents are never shuffled or rewritten.
+
+Defined cases: null and wordless texts have no words and no hits; items without
+words (null or empty texts) have no windows; an item repeated under several ids counts once for each
+id; equal ids count once, and all null ids as one empty id; documents may repeat
+(each row is answered); an empty benchmark hits nothing; existing columns
+``__n_words``, ``__hits`` and ``__item_ids`` are replaced, others kept, never read.
 """
 
 from __future__ import annotations
@@ -32,10 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import small_batches, stash
+from leaguespark.llm.common import gathered, release, small_batches, stash
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
+#: Bytes of texts that go through the blocks at once, where there are several.
+TOGETHER = 64 << 20
+#: Different words that a task counts before it hands them on.
+COUNTED = 200_000
 
 #: Bytes of words: digits, lower-cased letters and all of UTF-8 beyond ASCII; the rest part words.
 _WORD = bytes((b + 32 if 65 <= b <= 90 else b) if re.match(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", bytes([b])) else 32 for b in range(256))
@@ -67,19 +73,34 @@ def item_windows(items: DataFrame, size: int = WINDOW) -> DataFrame:
     return rows.mapInArrow(cut, "item_id string, window binary").distinct()
 
 
-def word_counts(docs: DataFrame, vocabulary: frozenset[bytes]) -> dict[bytes, int]:
-    """How often each word of a bounded vocabulary stands in the documents."""
-    known = docs.sparkSession.sparkContext.broadcast(vocabulary)
+def word_counts(docs: DataFrame, windows: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """(word, n): how often each word of the windows stands in the documents, if it does."""
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.record_batch([pa.array(list({w for window in batch.column(0).to_pylist() for w in window.split(b" ")}), pa.binary())], ["word"])
+
+    vocabulary = stash(windows.select("window").mapInArrow(split, "word binary").distinct())
+    bounded = vocabulary.agg(F.coalesce(F.sum(F.length("word") + 100), F.lit(0))).first()[0] <= block_bytes
+    # A vocabulary of any size: all words are counted, and joined with it.
+    known = docs.sparkSession.sparkContext.broadcast(frozenset(bytes(r.word) for r in vocabulary.toLocalIterator()) if bounded else None)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, keep = Counter(), known.value.__contains__
+        seen, keep = Counter(), known.value.__contains__ if known.value is not None else None
+
+        def full() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+
         for batch in batches:
             for text in batch.column(0):
-                seen.update(filter(keep, words_of(text.as_py())))
-        yield pa.record_batch([pa.array(list(seen), pa.binary()), pa.array(list(seen.values()), pa.int64())], ["word", "n"])
+                seen.update(filter(keep, words_of(text.as_py())) if keep else words_of(text.as_py()))
+            if len(seen) > COUNTED:
+                yield full()
+                seen.clear()
+        yield full()
 
-    partial = docs.select(F.col("text").cast("string")).mapInArrow(count, "word binary, n long")
-    return {bytes(r.word): r.n for r in partial.groupBy("word").agg(F.sum("n").alias("n")).toLocalIterator()}
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(count, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    return stash(counts if bounded else counts.join(vocabulary, "word", "left_semi"))
 
 
 class WindowIndex:
@@ -124,37 +145,58 @@ def _blocks(spark: SparkSession, items: DataFrame, size: int, block_bytes: int)
     return [windows.filter(F.pmod(F.xxhash64("window"), F.lit(n)) == i) for i in range(n)]
 
 
+def _indexes(docs: DataFrame, blocks: list[DataFrame], block_bytes: int) -> Iterator[WindowIndex]:
+    """One index a block; the driver holds one block at a time."""
+    counts = None
+    for block in blocks:
+        windows: dict[bytes, list[str]] = {}
+        for row in block.toLocalIterator():  # a block, of bounded size
+            windows.setdefault(bytes(row.window), []).append(row.item_id or "")
+        if not windows:
+            continue
+        if counts is None:
+            every = blocks[0]
+            for other in blocks[1:]:
+                every = every.unionByName(other)
+            counts = word_counts(docs, every, block_bytes)
+        words = {w for window in windows for w in window.split(b" ")}
+        yield WindowIndex(windows, {word: r.n for r in counts.toLocalIterator() if (word := bytes(r.word)) in words})
+
+
 def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The documents' columns, and __n_words, __hits (disjoint ranges, start and end flattened) and __item_ids (sorted)."""
     spark = docs.sparkSession
     small_batches(spark)
-    found = docs.withColumns({"__n_words": F.lit(0).cast("long"), "__hits": F.array().cast("array<int>"), "__item_ids": F.array().cast("array<string>")})
-    blocks = _blocks(spark, items, size, block_bytes)
-    for turn, block in enumerate(blocks):
-        windows: dict[bytes, list[str]] = {}
-        for row in block.toLocalIterator():  # a block, of bounded size
-            windows.setdefault(bytes(row.window), []).append(row.item_id or "")
-        counts = word_counts(docs, frozenset(w for window in windows for w in window.split(b" "))) if windows else {}
-        index = spark.sparkContext.broadcast(WindowIndex(windows, counts))
-        names = found.columns
-
-        def probe(batches: Iterator[pa.RecordBatch], index=index, names=names) -> Iterator[pa.RecordBatch]:
-            at_text = names.index("text")
-            for batch in batches:
-                n_words, hits, item_ids = [], [], []
-                old = zip(batch.column(len(names) - 2).to_pylist(), batch.column(len(names) - 1).to_pylist(), strict=True)
-                for text, (had, ids) in zip(batch.column(at_text), old, strict=True):
+    new = {"__n_words": "long", "__hits": "array<int>", "__item_ids": "array<string>"}
+    docs = docs.drop(*new)
+    parts = []
+    for index in _indexes(docs, _blocks(spark, items, size, block_bytes), block_bytes):
+        parts.append(spark.sparkContext.broadcast(index))
+        release(parts[-1])
+    names = docs.columns
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at_text = names.index("text")
+        for group in gathered(batches, TOGETHER if len(parts) > 1 else 0):
+            texts = [text for batch in group for text in batch.column(at_text)]
+            n_words, hits, ids = [0] * len(texts), [[] for _ in texts], [set() for _ in texts]
+            for part in parts or [None]:
+                for i, text in enumerate(texts):
                     words = words_of(text.as_py())
-                    ranges, items_found = index.value.hits(words)
-                    n_words.append(len(words))
-                    hits.append([x for r in covered([*zip(had[::2], had[1::2], strict=True), *ranges]) for x in r])
-                    item_ids.append(sorted({*ids, *items_found}))
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-3], pa.array(n_words, pa.int64()), pa.array(hits, pa.list_(pa.int32())), pa.array(item_ids, pa.list_(pa.string()))], names)
-
-        found = found.mapInArrow(probe, found.schema)
-        if turn + 1 < len(blocks):
-            found = stash(found)
-    return found
+                    n_words[i] = len(words)
+                    if part is not None:
+                        ranges, found = part.value.hits(words)
+                        hits[i] += ranges
+                        ids[i] |= found
+                if len(parts) > 1:
+                    release(part)
+            at = 0
+            for batch in group:
+                own = slice(at, at := at + batch.num_rows)
+                columns = [pa.array(n_words[own], pa.int64()), pa.array([[x for r in covered(h) for x in r] for h in hits[own]], pa.list_(pa.int32())), pa.array(list(map(sorted, ids[own])), pa.list_(pa.string()))]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, *new])
+
+    return docs.mapInArrow(probe, docs.limit(0).withColumns({name: F.lit(None).cast(kind) for name, kind in new.items()}).schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
