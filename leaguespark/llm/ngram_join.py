@@ -130,19 +130,29 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array([small.itemsize], pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.binary()), pa.array([small.tobytes()], pa.binary()), pa.array([i // SLOT_CHUNK], pa.int32())], names)
 
 
-def _sum_slots(group):
-    total = np.zeros(SLOT_CHUNK, np.int64)
-    for width, counts in zip(group["k1"].to_pylist(), group["counts"].to_pylist(), strict=True):
-        total += np.frombuffer(counts, f"u{width}")
-    return pa.table({"slot": group["slot"][:1], "counts": pa.array([total.tobytes()], pa.binary())})
+def _sum_slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a slot chunk that the partition holds; rows are added as they come, so memory does not follow their number."""
+    totals: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for slot, width, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            own = totals.setdefault(slot, np.zeros(SLOT_CHUNK, np.int64))
+            own += np.frombuffer(counts, f"u{width}")
+    small = {slot: _narrowest(total.astype(np.uint64)) for slot, total in totals.items()}
+    yield pa.RecordBatch.from_arrays([pa.array(list(small), pa.int32()), pa.array([x.itemsize for x in small.values()], pa.int64()), pa.array([x.tobytes() for x in small.values()], pa.binary())], ["slot", "k1", "counts"])
 
 
 def slot_counts(measured: DataFrame) -> np.ndarray:
-    """Shingles of all documents by slot; SLOTS numbers whatever the input."""
-    parts = measured.filter("slot IS NOT NULL").select("slot", "k1", "counts").groupBy("slot").applyInArrow(_sum_slots, "slot int, counts binary")
+    """Shingles of all documents by slot; SLOTS numbers whatever the input.
+
+    Rows of a slot are first summed where they lie in ``SALTS`` parts, then together.
+    """
+    rows = measured.filter("slot IS NOT NULL").select("slot", "k1", "counts")
+    for salted in (True, False):
+        dealt = rows.repartition("slot", F.pmod(F.xxhash64("counts"), F.lit(SALTS))) if salted else rows.repartition("slot")
+        rows = dealt.select("slot", "k1", "counts").mapInArrow(_sum_slots, "slot int, k1 long, counts binary")
     total = np.zeros(SLOTS, np.int64)
-    for row in parts.collect():
-        total[row.slot * SLOT_CHUNK : (row.slot + 1) * SLOT_CHUNK] = np.frombuffer(row.counts, np.int64)
+    for row in rows.collect():  # one row a slot chunk, SLOTS / SLOT_CHUNK in all
+        total[row.slot * SLOT_CHUNK : (row.slot + 1) * SLOT_CHUNK] = np.frombuffer(row.counts, f"u{row.k1}")
     return total
 
 
