@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from leaguespark.plans import captures, matches, relational, texts
+from leaguespark.plans import captures, matches, predicates, relational, texts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (matches, captures, relational, texts):
+for _module in (matches, captures, relational, texts, predicates):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
