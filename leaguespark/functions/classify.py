@@ -25,7 +25,7 @@ _REGIONAL = r"REGION|\bREG\b|HONNEUR|EXCELLENCE|NATIONAL|BUTAGAZ|STARLIGUE|PROLI
 def category(label: Column) -> Column:
     name = strip_upper(label)
     age = F.regexp_extract(name, _AGE, 1)
-    return F.when(age.isin(*AGES), F.concat(F.lit("-"), age)).when(name.rlike("LOISIR"), "Loisir").when(name.rlike(_SENIORS), "Seniors").otherwise("Autre")
+    return F.when(age.try_cast("int").isin(*map(int, AGES)), F.concat(F.lit("-"), age)).when(name.rlike("LOISIR"), "Loisir").when(name.rlike(_SENIORS), "Seniors").otherwise("Autre")
 
 
 def sex(label: Column) -> Column:
@@ -60,6 +60,7 @@ def is_entente_by_name(team: Column) -> Column:
 
 
 def group_label(category: Column, sex: Column, rank: Column, entente: Column) -> Column:
+    # The wording of labels.
     base = F.when(category == "Autre", category).otherwise(F.concat_ws(" ", category, sex))
     nth = F.when(rank > 1, F.concat(F.lit(" (équipe "), rank.cast("string"), F.lit(")"))).otherwise("")
     return F.concat(base, nth, F.when(entente, " — entente").otherwise(""))
@@ -79,6 +80,7 @@ def match_status(home: Column, away: Column, home_mark: Column, away_mark: Colum
     return F.when(side.isNotNull(), "forfait").when(home.isNotNull() & away.isNotNull(), "joue").otherwise("a_jouer")
 
 
+#: The words for confidence.
 def confidence(rank: Column) -> Column:
     return F.when(rank >= 3, "haute").when(rank == 2, "moyenne").otherwise("basse")
 

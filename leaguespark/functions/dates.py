@@ -51,9 +51,9 @@ def seconds(clock: Column) -> Column:
 
 
 def weekend_window(now: datetime) -> tuple[datetime, datetime]:
-    """From Friday to Monday (end excluded) of the week of a moment."""
+    """From Saturday to Monday (end excluded) of the ISO week of a moment."""
     monday = datetime(now.year, now.month, now.day) - timedelta(days=now.weekday())
-    return monday + timedelta(days=4), monday + timedelta(days=7)
+    return monday + timedelta(days=5), monday + timedelta(days=7)
 
 
 def live_window(now: datetime) -> tuple[datetime, datetime]:
@@ -67,3 +67,15 @@ def recent_window(now: datetime, days: int) -> tuple[datetime, datetime]:
 def in_window(moment: Column, window: tuple[datetime, datetime]) -> Column:
     """Half-open: the end does not belong."""
     return (moment >= F.lit(window[0])) & (moment < F.lit(window[1]))
+
+
+def resolve_window(now: datetime, start: datetime | None = None, end: datetime | None = None, recent_days: int = 0, live: bool = False, weekend: bool = False) -> tuple[datetime, datetime] | None:
+    """The window that is asked for: explicit bounds before recent days, live and weekend; None without any."""
+    if start or end:
+        window = start or datetime(1970, 1, 1), end or datetime(9999, 12, 31)
+        if window[1] <= window[0]:
+            raise ValueError("the window's end must come after its start")
+        return window
+    if recent_days > 0:
+        return recent_window(now, recent_days)
+    return live_window(now) if live else weekend_window(now) if weekend else None

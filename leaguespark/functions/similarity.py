@@ -38,3 +38,9 @@ def word_similarity(query: Column, text: Column) -> Column:
 
     best = F.array_max(F.flatten(F.transform(at, lambda s: F.transform(F.filter(at, lambda e: e >= s), lambda e: score(s, e)))))
     return F.when(query.isNull() | text.isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(best, F.lit(0.0)))
+
+
+def may_match(query: Column, text: Column, threshold: float = THRESHOLD) -> Column:
+    """A cheap necessary condition for a similarity above the threshold: the text holds more than that share of the query's trigrams."""
+    wanted = F.array_distinct(trigrams(query))
+    return F.size(F.array_intersect(wanted, trigrams(text))) > threshold * F.size(wanted)

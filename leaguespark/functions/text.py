@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Accented letters and the plain letters they lose their accents to.
-ACCENTED = "àáâãäåçèéêëìíîïñòóôõöùúûüýÿÀÁÂÃÄÅÇÈÉÊËÌÍÎÏÑÒÓÔÕÖÙÚÛÜÝ"
-PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
+#: Latin letters that decompose into a letter and marks, and that letter.
+_DECOMPOSED = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
+ACCENTED = "".join(c for c, parts in _DECOMPOSED.items() if len(parts) > 1 and all(map(unicodedata.combining, parts[1:])))
+PLAIN = "".join(_DECOMPOSED[c][0] for c in ACCENTED)
 #: Particles that stay lower case inside a French name.
 PARTICLES = ("de", "du", "des", "la", "le", "les", "et")
 #: Generic words of club names.
@@ -30,9 +35,23 @@ def strip_upper(text: Column) -> Column:
     return F.upper(strip_accents(text))
 
 
+#: White space as names carry it, beyond ASCII.
+SPACES = "[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
+
+
+@F.pandas_udf("string")
+def _composed(text: pd.Series) -> pd.Series:
+    return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
+
+
+def normalize(text: Column) -> Column:
+    """Composed letters (NFC), then ``clean``; only texts with combining marks need Python."""
+    return clean(F.when(text.rlike(MARKS), _composed(text)).otherwise(text))
+
+
 def clean(text: Column) -> Column:
     """Without invisible characters, runs of white space as one space, trimmed."""
-    return F.trim(F.regexp_replace(F.regexp_replace(text, INVISIBLE, ""), r"[\s ]+", " "))
+    return F.trim(F.regexp_replace(F.regexp_replace(text, INVISIBLE, ""), SPACES, " "))
 
 
 def _capital(word: Column) -> Column:
@@ -94,11 +113,12 @@ def template_route(path: Column) -> Column:
 def sheet_url(code: Column, base: str = "https://media.example.org/fdm") -> Column:
     """Match sheets lie under the first four characters of their code."""
     letters = [F.substring(code, i, 1) for i in range(1, 5)]
-    return F.concat(F.lit(base), F.lit("/"), F.concat_ws("/", *letters), F.lit("/"), code, F.lit(".pdf"))
+    return F.when(F.length(code) >= 4, F.concat(F.lit(base), F.lit("/"), F.concat_ws("/", *letters), F.lit("/"), code, F.lit(".pdf")))
 
 
 def department(zipcode: Column) -> Column:
     """Department of a French postcode: three digits overseas, 2A or 2B in Corsica."""
+    # 97 and 98 are overseas, 20 is Corsica, whose south ends below 20200.
     number = zipcode.try_cast("int")
     return (
         F.when(zipcode.isNull() | (F.length(zipcode) < 2), F.lit(None).cast("string"))
@@ -106,3 +126,48 @@ def department(zipcode: Column) -> Column:
         .when(zipcode.startswith("20"), F.when(number < 20200, F.lit("2A")).otherwise("2B"))
         .otherwise(F.substring(zipcode, 1, 2))
     )
+
+
+def hmac_sha256(key: str, message: Column) -> Column:
+    """HMAC-SHA256 in hexadecimal digits, from two hashes."""
+    raw = key.encode()
+    raw = (hashlib.sha256(raw).digest() if len(raw) > 64 else raw).ljust(64, b"\0")
+    inner, outer = bytes(b ^ 0x36 for b in raw), bytes(b ^ 0x5C for b in raw)
+    first = F.unhex(F.sha2(F.concat(F.lit(inner), message.cast("binary")), 256))
+    return F.sha2(F.concat(F.lit(outer), first), 256)
+
+
+def grouped_digits(number: Column) -> Column:
+    """A whole number with a space between its thousands; ``-`` for null."""
+    return F.coalesce(F.regexp_replace(number.cast("string"), r"\B(?=(\d{3})+(?!\d))", " "), F.lit("-"))
+
+
+def duration(milliseconds: Column) -> Column:
+    """Seconds, or minutes and seconds, or hours and minutes; ``-`` for null or negative."""
+    s = F.floor(milliseconds / 1000 + 0.5).cast("long")
+    m = F.floor(s / 60).cast("long")
+    two = lambda x: F.lpad(x.cast("string"), 2, "0")
+    out = F.when(s < 60, F.concat(s.cast("string"), F.lit("s"))).when(m < 60, F.concat(m.cast("string"), F.lit("m"), two(s % 60)))
+    return F.when(milliseconds.isNull() | (milliseconds < 0), "-").otherwise(out.otherwise(F.concat(F.floor(m / 60).cast("string"), F.lit("h"), two(m % 60))))
+
+
+def byte_size(size: Column) -> Column:
+    """Bytes in the largest unit that leaves one or more; no decimals from 100 on."""
+    out = F.lit(None).cast("string")
+    for power, unit in reversed(list(enumerate(("o", "Ko", "Mo", "Go", "To")))):
+        n = size / float(1024**power)
+        text = F.format_string("%.0f", n) if power == 0 else F.when(n >= 100, F.format_string("%.0f", n)).otherwise(F.format_string("%.1f", n))
+        value = F.concat(text, F.lit(f" {unit}"))
+        out = value if power == 4 else F.when(size < float(1024 ** (power + 1)), value).otherwise(out)
+    return F.coalesce(out, F.lit("-"))
+
+
+def is_private_ip(address: Column) -> Column:
+    """Whether an address is no public one: private, local, shared, test or multicast; true for what is no address."""
+    part = lambda i: F.element_at(F.split(address, r"\."), i).try_cast("int")
+    a, b = part(1), part(2)
+    v4 = address.rlike(r"^[0-9]{1,3}(\.[0-9]{1,3}){3}$")
+    # The reserved ranges.
+    private = a.isin(0, 10, 127) | ((a == 100) & b.between(64, 127)) | ((a == 169) & (b == 254)) | ((a == 172) & b.between(16, 31)) | ((a == 192) & (b == 168)) | ((a == 198) & b.isin(18, 19)) | (a >= 224)
+    v6 = F.lower(address)
+    return F.when(v4, private).when(address.contains(":"), v6.isin("::", "::1") | v6.rlike("^(fc|fd|ff|fe[89ab])")).otherwise(True)

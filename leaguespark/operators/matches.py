@@ -70,6 +70,20 @@ def page(rows: DataFrame, order: list[Column], limit: int = 20, offset: int = 0)
     return rows.orderBy(*order).offset(offset).limit(limit)
 
 
+def of_team(matchs: DataFrame, equipes: DataFrame, team: str) -> DataFrame:
+    """The matches of a team in either role: each role is filtered by itself, so the team's id reaches both sides of the union."""
+    ids = equipes.filter(F.col("id_ffhb") == team).select(F.col("id").alias("t_id"))
+    roles = [matchs.join(ids, F.col(fk) == F.col("t_id"), "left_semi") for fk in ("equipe_dom_id", "equipe_ext_id")]
+    return roles[0].unionByName(roles[1]).dropDuplicates(["id"])
+
+
+def existing(rows: DataFrame, column: str, values: list[str]) -> DataFrame:
+    """(value, existe) for each of some values."""
+    wanted = rows.sparkSession.createDataFrame([(v,) for v in values], "value string")
+    found = rows.filter(F.col(column).isin(*values)).select(F.col(column).alias("value"), F.lit(True).alias("found")).distinct()
+    return wanted.join(found, "value", "left").select("value", F.coalesce("found", F.lit(False)).alias("existe"))
+
+
 def viewpoint(own: Column, home: Column, away: Column) -> Column:
     """A score seen from one side."""
     return F.when(own == "dom", home).otherwise(away)
@@ -79,9 +93,9 @@ def detail(joined: DataFrame, lineups: DataFrame, actions: DataFrame, officials:
     """Matches with nested line-ups (by side and shirt), actions (in order) and officials (by role)."""
 
     def nested(rows: DataFrame, name: str, order: list[str], columns: list[str]) -> DataFrame:
-        first = [F.col(c).isNull().alias(f"n_{c}") if c == "numero_maillot" else F.col(c) for c in order]
-        sort = F.struct(*first, *columns)
-        return rows.groupBy("match_id").agg(F.transform(F.sort_array(F.collect_list(sort)), lambda x: F.struct(*[x[c].alias(c) for c in columns])).alias(name))
+        first = [x for i, c in enumerate(order) for x in (F.col(c).isNull().alias(f"null_{i}"), F.col(c).alias(f"order_{i}"))]
+        sort = F.struct(*first, *[F.col(c).alias(f"value_{c}") for c in columns])
+        return rows.groupBy("match_id").agg(F.transform(F.sort_array(F.collect_list(sort)), lambda x: F.struct(*[x[f"value_{c}"].alias(c) for c in columns])).alias(name))
 
     out = match_rows(joined)
     parts = (

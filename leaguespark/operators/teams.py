@@ -111,3 +111,13 @@ def inherit_links(rows: DataFrame, by: list[str]) -> DataFrame:
     sure = F.max((F.col("confiance") == "haute").cast("int")).over(Window.partitionBy(*by, "cle")) == 1
     weak = sure & (F.col("confiance") == "basse")
     return rows.withColumn("methode", F.when(weak, "groupe").otherwise(F.col("methode"))).withColumn("confiance", F.when(weak, "moyenne").otherwise(F.col("confiance")))
+
+
+def calendar(links: DataFrame, matchs: DataFrame) -> DataFrame:
+    """(club_id, match_id, club_recevant, equipe): the matches of each club's linked teams; the home team speaks for the club where both are linked.
+
+    links: club_id, equipe_id, nom; matchs: id, equipe_dom_id, equipe_ext_id.
+    """
+    sides = matchs.select(F.col("id").alias("match_id"), F.explode(F.array(F.struct(F.col("equipe_dom_id").alias("equipe_id"), F.lit(True).alias("home")), F.struct(F.col("equipe_ext_id").alias("equipe_id"), F.lit(False).alias("home")))).alias("s"))
+    rows = sides.select("match_id", "s.equipe_id", "s.home").join(links.select("club_id", "equipe_id", "nom"), "equipe_id")
+    return rows.groupBy("club_id", "match_id").agg(F.bool_or("home").alias("club_recevant"), F.max_by("nom", F.struct("home", "nom")).alias("equipe"))

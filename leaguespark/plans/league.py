@@ -96,7 +96,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 
 def _names(sql: str) -> list[str]:
-    return list(dict.fromkeys(re.findall(r"\{(\w+)\}", sql)))
+    return list(dict.fromkeys(re.findall(r"\{([a-z]\w*)\}", sql)))
 
 
 def league(spark: SparkSession, sf_dir: str) -> Callable[[str], DataFrame]:
@@ -127,7 +127,7 @@ def oracle(sql: str) -> str:
 
     for name in _names(sql):
         need(name)
-    plain = lambda text: re.sub(r"\{(\w+)\}", r"\1", text)
+    plain = lambda text: re.sub(r"\{([a-z]\w*)\}", r"\1", text)
     views = ", ".join(f"{name} AS ({plain(VIEWS[name])})" for name in order)
     text = plain(sql).strip()
     if not views:
