@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from leaguespark.plans import captures, domain, matches, predicates, relational, scalars, texts
+from leaguespark.plans import captures, domain, loads, matches, predicates, relational, scalars, texts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (matches, captures, relational, texts, predicates, scalars, domain):
+for _module in (matches, captures, relational, texts, predicates, scalars, domain, loads):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)
