@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -29,3 +31,8 @@ def sum_known(*columns: Column) -> Column:
 def ratio(part: Column, whole: Column) -> Column:
     """A quotient that is null instead of failing on a zero."""
     return part / F.nullif(whole, F.lit(0))
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, also where lambdas or an explode would ask for it again and again."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -85,3 +85,11 @@ def reap_orphans(runs: DataFrame, now: datetime, hours: int) -> DataFrame:
     """Runs still open after too long are failed."""
     old = (F.col("status") == "running") & (F.col("started_at") < F.lit(now) - F.expr(f"INTERVAL {hours} HOURS"))
     return runs.withColumn("finished_at", F.when(old, F.lit(now)).otherwise(F.col("finished_at"))).withColumn("status", F.when(old, "failed").otherwise(F.col("status")))
+
+
+def tally(runs: DataFrame, key: str) -> DataFrame:
+    """Counts of each state by key, and the worst of them in words."""
+    counts = runs.groupBy(key).agg(*[F.count_if(F.col("status") == s).alias(s) for s in ("success", "partial", "failed", "running")])
+    # The words of the verdict.
+    verdict = F.when(F.col("failed") > 0, "en échec").when(F.col("running") > 0, "en cours").when(F.col("partial") > 0, "dégradé").otherwise("sain")
+    return counts.withColumn("verdict", verdict)

@@ -143,5 +143,6 @@ def deliveries(events: DataFrame, subscriptions: DataFrame, clubs_of_team: DataF
 def next_delivery(status: Column, attempts: Column, ok: Column, ladder: tuple[int, ...] = (60, 300, 1800, 7200, 43200)) -> Column:
     """(status, wait in seconds) of a delivery after an attempt: done, retried by a ladder, at last failed."""
     waits = F.array(*[F.lit(s) for s in ladder])
-    again = attempts < len(ladder)
-    return F.when(status != "pending", F.struct(status.alias("status"), F.lit(None).cast("int").alias("wait"))).when(ok, F.struct(F.lit("delivered"), F.lit(None).cast("int"))).when(again, F.struct(F.lit("pending"), F.get(waits, attempts))).otherwise(F.struct(F.lit("failed"), F.lit(None).cast("int")))
+    retried = (status == "pending") & ~ok & (attempts < len(ladder))
+    after = F.when(status != "pending", status).when(ok, "delivered").when(retried, "pending").otherwise("failed")
+    return F.struct(after.alias("status"), F.when(retried, F.get(waits, attempts)).alias("wait"))

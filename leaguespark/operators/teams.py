@@ -33,9 +33,7 @@ def linked_teams(clubs: DataFrame, teams: DataFrame, lineups: DataFrame, players
     by_licence = club.join(per_code.filter(F.col("n_players") >= MIN_PLAYERS), "code").join(seasonal, F.col("equipe_id") == F.col("id"))
     by_structure = club.join(seasonal, F.col("ext_structure_id") == F.col("club_id"))
     by_name = club.join(seasonal, F.col("nom") == F.col("club_nom"))
-    # Names that begin with the club's: joined on their first word, which must be equal up to case.
-    first = lambda c: F.lower(F.element_at(F.split(c, " "), 1))
-    by_prefix = club.withColumn("w", first(F.col("club_nom"))).join(seasonal.withColumn("w", first(F.col("nom"))), "w").filter(F.expr("nom ILIKE concat(club_nom, ' %')"))
+    by_prefix = _begins_with(club, seasonal)
     # Ententes that share a word: joined on the word, then tested as the whole-word pattern.
     tokens = club.withColumn("tokens", distinctive_tokens(F.col("club_nom"))).withColumn("pattern", whole_word_pattern(F.col("tokens"))).withColumn("w", F.explode("tokens"))
     words = seasonal.filter(classify.is_entente_by_name(F.col("nom"))).withColumn("w", F.explode(F.array_distinct(F.split(F.lower("nom"), r"[^\p{L}\p{N}_]+"))))
@@ -57,6 +55,28 @@ def linked_teams(clubs: DataFrame, teams: DataFrame, lineups: DataFrame, players
     return out.drop("rank")
 
 
+def _begins_with(club: DataFrame, teams: DataFrame) -> DataFrame:
+    """(club_id, id): team names ILIKE the club's name, a space and anything, by joins on equality.
+
+    ``_`` in a club's name stands for any character.  The few different places of such characters (masks) are
+    put over the beginnings of team names that end before a space and have the mask's length; ``%`` and a backslash
+    are rare, and their names meet the teams by their letters before it.
+    """
+    name = F.lower("club_nom")
+    mask = F.array_join(F.filter(F.sequence(F.lit(1), F.length(name)), lambda i: F.substring(name, i, F.lit(1)) == "_"), ",")
+    odd = F.col("club_nom").rlike(r"[%\\]")
+    plain = club.filter(~odd & (name != "")).select("club_id", name.alias("name"), F.length(name).alias("length"), mask.alias("mask"))
+    starts = teams.select("id", F.explode(F.expr("transform(filter(sequence(1, length(nom)), i -> substring(nom, i, 1) = ' '), i -> lower(left(nom, i - 1)))")).alias("start"))
+    masks = plain.select("length", "mask").distinct()
+    masked = starts.withColumn("length", F.length("start")).join(masks, "length").withColumn("name", F.expr("array_join(transform(split(start, ''), (c, i) -> CASE WHEN array_contains(split(mask, ','), cast(i + 1 AS string)) THEN '_' ELSE c END), '')"))
+    found = masked.join(plain, ["length", "mask", "name"]).select("club_id", "id")
+    letters = lambda c, n: F.when(F.length(c) >= 3, F.substring(F.lower(c), 1, n))
+    before = F.regexp_extract("club_nom", r"^[^%_\\]*", 0)
+    rare = club.filter(odd).withColumn("w", F.coalesce(letters(before, 3), F.lit("")))
+    rest = rare.join(teams.withColumn("w", F.explode(F.array(letters(F.col("nom"), 3), F.lit("")))), "w").filter(F.expr("nom ILIKE concat(club_nom, ' %')"))
+    return found.unionByName(rest.select("club_id", "id")).distinct()
+
+
 def _pick(values: dict[str, int]) -> Column:
     out = F.lit(None).cast("int")
     for method, value in values.items():

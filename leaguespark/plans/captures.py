@@ -42,14 +42,14 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_reg.add("K1_append_dedup", """
     WITH d AS (SELECT lang, sha256(coalesce(text, '')) AS h, doc_id FROM documents),
     old AS (SELECT DISTINCT lang, h FROM d WHERE doc_id % 2 = 0),
-    new AS (SELECT DISTINCT lang, h FROM d WHERE doc_id % 2 = 1),
+    new AS (SELECT DISTINCT lang, h FROM d WHERE NOT coalesce(doc_id % 2 = 0, false)),
     kept AS (SELECT n.* FROM new n WHERE NOT EXISTS (SELECT 1 FROM old o WHERE o.lang = n.lang AND o.h = n.h))
-    SELECT (SELECT count(*) FROM kept) AS inserted, (SELECT count(*) FROM d WHERE doc_id % 2 = 1) - (SELECT count(*) FROM kept) AS duplicates
+    SELECT (SELECT count(*) FROM kept) AS inserted, (SELECT count(*) FROM d WHERE NOT coalesce(doc_id % 2 = 0, false)) - (SELECT count(*) FROM kept) AS duplicates
 """)
 def append_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents with even ids stand for the table, odd ones for the batch."""
+    """Documents with even ids stand for the table, all others for the batch."""
     docs = table(spark, sf_dir, "documents").select("lang", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("hash"), "doc_id")
-    return snapshot.append_outcome(docs.filter("doc_id % 2 = 0"), docs.filter("doc_id % 2 = 1"), ["lang", "hash"])
+    return snapshot.append_outcome(docs.filter("doc_id % 2 = 0"), docs.filter("NOT coalesce(doc_id % 2 = 0, false)"), ["lang", "hash"])
 
 
 @_reg.add("K3_merge_outcomes", """
@@ -68,11 +68,11 @@ def merge_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_reg.add("K5_insert_ignore", """
     SELECT c_custkey, c_mktsegment FROM customer WHERE c_custkey % 3 = 0
-    UNION ALL SELECT c_custkey, 'NEW' FROM customer WHERE c_custkey % 2 = 0 AND c_custkey % 3 <> 0
+    UNION ALL SELECT c_custkey, 'NEW' FROM customer WHERE c_custkey % 3 <> 0
 """)
 def insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment")
-    return merge.insert_ignore(rows.filter("c_custkey % 3 = 0"), rows.filter("c_custkey % 2 = 0").withColumn("c_mktsegment", F.lit("NEW")), ["c_custkey"])
+    return merge.insert_ignore(rows.filter("c_custkey % 3 = 0"), rows.withColumn("c_mktsegment", F.lit("NEW")), ["c_custkey"])
 
 
 @_reg.add("K9_majority_value", """

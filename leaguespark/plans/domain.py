@@ -301,7 +301,7 @@ _same("D20_reference_lists", "SELECT 'saison' AS liste, saison_code AS code, sai
 _GRAMS = "flatten(list_transform(list_filter(regexp_split_to_array(lower({0}), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3))))"
 
 
-def _similar(query: str, rows: str) -> str:
+def similar_sql(query: str, rows: str) -> str:
     """Word similarity by all runs of trigrams, over rows (type, id, nom)."""
     q, g = _GRAMS.format(f"'{query}'"), _GRAMS.format("nom")
     return f"""WITH q AS (SELECT list_distinct({q}) AS q), names AS (SELECT nom, {g} AS g FROM (SELECT DISTINCT nom FROM ({rows}))),
@@ -310,7 +310,7 @@ def _similar(query: str, rows: str) -> str:
       SELECT x.type, x.id, x.nom, round(s.score, 6) AS score FROM ({rows}) x JOIN scored s ON s.nom = x.nom WHERE s.score > 0.6"""
 
 
-_PARTS = "SELECT 'part' AS type, CAST(p_partkey AS STRING) AS id, p_name AS nom FROM {part}"
+PARTS = "SELECT 'part' AS type, CAST(p_partkey AS STRING) AS id, p_name AS nom FROM {part}"
 _ENTITIES = f"SELECT 'club' AS type, id_ffhb AS id, nom FROM {{clubs}} UNION ALL SELECT 'equipe', id_ffhb, nom FROM {{equipes}} WHERE saison_code = '{SEASON}' UNION ALL SELECT 'competition', id_ffhb, nom FROM {{competitions}} UNION ALL SELECT 'joueur', numero_licence, nom FROM {{joueurs}} UNION ALL SELECT 'salle', id_ffhb, nom FROM {{salles}}"
 
 
@@ -323,12 +323,12 @@ def _search(t: T, query: str, rows: str) -> DataFrame:
     return entities.join(scored, "nom").select("type", "id", "nom", F.round("score", 6).alias("score"))
 
 
-@_reg.add("F12_trigram_search", _similar("smal ring", _PARTS))
+@_reg.add("F12_trigram_search", similar_sql("smal ring", PARTS))
 def trigram_search(t: T) -> DataFrame:
-    return _search(t, "smal ring", _PARTS)
+    return _search(t, "smal ring", PARTS)
 
 
-@_reg.add("D16_search", _similar("nation machinery", _ENTITIES))
+@_reg.add("D16_search", similar_sql("nation machinery", _ENTITIES))
 def search(t: T) -> DataFrame:
     return _search(t, "nation machinery", _ENTITIES)
 

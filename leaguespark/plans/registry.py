@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from leaguespark.plans import captures, domain, loads, matches, predicates, relational, scalars, texts
+from leaguespark.plans import captured, captures, domain, loads, matches, predicates, relational, reports, scalars, streams, texts
 
 QUERIES: dict = {}
 ORACLES: dict = {}
-for _module in (matches, captures, relational, texts, predicates, scalars, domain, loads):
+for _module in (matches, captures, relational, texts, predicates, scalars, domain, loads, reports, captured, streams):
     QUERIES.update(_module.QUERIES)
     ORACLES.update(_module.ORACLES)

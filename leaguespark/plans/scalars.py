@@ -21,7 +21,7 @@ _NAMES = """
            WHEN 3 THEN 'Étoile Sportive ' || p_name || ' Club 1234' WHEN 4 THEN p_name || ' et les Ÿves Čech' ELSE p_name END AS nom FROM {part}"""
 _CLEAN = r"trim(regexp_replace(regexp_replace({0}, '[\x{{200B}}-\x{{200F}}\x{{FEFF}}]', '', 'g'), '[\s\x{{00A0}}]+', ' ', 'g'))"
 _CAP = "upper({0}[1:1]) || lower({0}[2:])"
-_TITLE = f"""array_to_string(list_transform(string_split(propre, ' '), lambda w, i: CASE
+TITLE_SQL = f"""array_to_string(list_transform(string_split(propre, ' '), lambda w, i: CASE
     WHEN instr(w, '''') > 1 AND instr(w, '''') < length(w) AND instr(w, '''') <= 3 THEN lower(w[1:instr(w, '''')]) || upper(w[instr(w, '''') + 1:instr(w, '''') + 1]) || lower(w[instr(w, '''') + 2:])
     WHEN contains(w, '-') THEN array_to_string(list_transform(string_split(w, '-'), lambda p: {_CAP.format('p')}), '-')
     WHEN i > 1 AND lower(w) IN ('de', 'du', 'des', 'la', 'le', 'les', 'et') THEN lower(w) ELSE {_CAP.format('w')} END), ' ')"""
@@ -32,7 +32,7 @@ def normalize(t: T) -> DataFrame:
     return t.sql(_NAMES).select("id", text.normalize(F.col("nom")).alias("nom"))
 
 
-@_reg.add("F2_title_case_names", f"SELECT id, {_TITLE} AS titre FROM (SELECT id, {_CLEAN.format('nfc_normalize(nom)')} AS propre FROM ({_NAMES}))")
+@_reg.add("F2_title_case_names", f"SELECT id, {TITLE_SQL} AS titre FROM (SELECT id, {_CLEAN.format('nfc_normalize(nom)')} AS propre FROM ({_NAMES}))")
 def title_case_names(t: T) -> DataFrame:
     return t.sql(_NAMES).select("id", text.title_case(text.normalize(F.col("nom"))).alias("titre"))
 

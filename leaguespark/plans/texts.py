@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from leaguespark.functions import coerce, dates, similarity, text
 from leaguespark.plans.base import Registry, table
+from leaguespark.plans.domain import PARTS, similar_sql
+from leaguespark.plans.league import oracle
+from leaguespark.plans.scalars import TITLE_SQL
 
 _reg = Registry()
 QUERIES, ORACLES = _reg.queries, _reg.oracles
@@ -17,9 +20,8 @@ def slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.slug(F.col("p_name")).alias("slug"))
 
 
-@_reg.add("F2_title_case", r"SELECT p_partkey, array_to_string(list_transform(string_split(trim(regexp_replace(p_name, '\s+', ' ', 'g')), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') AS title FROM part WHERE NOT regexp_matches(p_name, '[''-]|(?i)\b(de|du|des|la|le|les|et)\b')")
+@_reg.add("F2_title_case", oracle(f"SELECT p_partkey, {TITLE_SQL} AS title FROM (SELECT p_partkey, trim(regexp_replace(p_name, '\\s+', ' ', 'g')) AS propre FROM {{part}})"))
 def title_case(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All names; the SQL twin is plain capitalisation and leaves out names with apostrophes, hyphens and particles, which tests/test_texts.py covers."""
     return table(spark, sf_dir, "part").select("p_partkey", text.title_case(F.col("p_name")).alias("title"))
 
 
@@ -46,8 +48,9 @@ def prefix_int(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select("o_orderkey", coerce.prefix_int(F.col("o_orderpriority")).alias("priority"))
 
 
-@_reg.add("F12_word_similarity")
+@_reg.add("F12_word_similarity", oracle(f"SELECT CAST(id AS BIGINT) AS p_partkey, nom AS p_name, score FROM ({similar_sql('smal ring', PARTS)})"))
 def word_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts whose name resembles a query, above the threshold."""
-    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name", similarity.word_similarity(F.lit("small brass"), F.col("p_name")).alias("score"))
-    return rows.filter(F.col("score") > similarity.THRESHOLD)
+    """Parts whose name resembles a query, above the threshold; few names hold enough of its trigrams to be scored."""
+    query = F.lit("smal ring")
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name").filter(similarity.may_match(query, F.col("p_name")))
+    return rows.withColumn("score", similarity.word_similarity(query, F.col("p_name"))).filter(F.col("score") > similarity.THRESHOLD).withColumn("score", F.round("score", 6))
