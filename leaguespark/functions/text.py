@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Latin letters that decompose into a letter and marks, and that letter.
 _DECOMPOSED = {chr(c): unicodedata.normalize("NFD", chr(c)) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00))}
@@ -39,7 +40,7 @@ def strip_upper(text: Column) -> Column:
 SPACES = "[\\s\\u00A0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _composed(text: pd.Series) -> pd.Series:
     return text.map(lambda t: unicodedata.normalize("NFC", t), na_action="ignore")
 
