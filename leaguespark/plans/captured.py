@@ -170,3 +170,21 @@ def nearest_column(t: T) -> DataFrame:
     centers = F.explode(F.array(*[F.struct(F.lit(n).alias("column"), F.lit(c).alias("center")) for n, c in (("tirs", 0.0), ("buts", 5.0), ("arrets", 10.0))])).alias("h")
     headers = fragments.select("page").distinct().select("page", centers).select("page", "h.column", "h.center")
     return sheets.nearest_columns(fragments, headers).withColumnRenamed("column", "colonne")
+
+
+def _lineup_texts(t: T) -> DataFrame:
+    rows = t("compositions").filter("numero_maillot IS NOT NULL").join(t("matchs").filter("fdm_code IS NOT NULL").select(F.col("id").alias("match_id"), "fdm_code"), "match_id")
+    line = F.struct("numero_maillot", F.concat_ws(" ", F.col("numero_maillot").cast("string"), F.col("joueur_id").cast("string")).alias("line"))
+    side = lambda cote: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("cote") == cote, line))), lambda x: x["line"]), "\n")
+    parts = [F.lit("x\nClub\nRecevant\nN° NOM\n5657013\n"), side("dom"), F.lit("\nOfficiel A\nClub Visiteur - 1\nCapt\n"), side("ext"), F.lit("\nDETAIL DES ACTIONS\n9 999")]
+    return rows.groupBy("fdm_code").agg(F.concat(*parts).alias("text"))
+
+
+@_reg.add("S19_lineup_sections", "SELECT m.fdm_code, CASE c.cote WHEN 'dom' THEN 'recevant' ELSE 'visiteur' END AS section, CAST(c.numero_maillot AS VARCHAR) || ' ' || CAST(c.joueur_id AS VARCHAR) AS line FROM {compositions} c JOIN {matchs} m ON m.id = c.match_id WHERE m.fdm_code IS NOT NULL AND c.numero_maillot IS NOT NULL")
+def lineup_sections(t: T) -> DataFrame:
+    return sheets.sections(_lineup_texts(t)).drop("at")
+
+
+@_reg.add("S21_sheet_documents", "SELECT m.fdm_code, 'Coupe' AS competition, CAST(2 AS INTEGER) AS officiels, CAST(count(*) AS INTEGER) AS actions FROM {matchs} m JOIN {actions} a ON a.match_id = m.id WHERE m.fdm_code IS NOT NULL GROUP BY m.fdm_code")
+def sheet_documents(t: T) -> DataFrame:
+    return sheets.documents(_sheet_texts(t), ["Arbitre", "Secretaire"]).select("fdm_code", "competition", F.size("officiels").alias("officiels"), F.size("actions").alias("actions"))

@@ -83,3 +83,33 @@ def actions(sheets: DataFrame) -> DataFrame:
         kind.alias("type_action"), side.alias("cote"), F.when(~pause("Recevant") & ~pause("Visiteur"), actor(4).try_cast("int")).alias("numero_maillot"),
         F.when(~pause("Recevant") & ~pause("Visiteur"), F.when(actor(2) == "J", "joueur").when(actor(2) == "O", "officiel")).alias("acteur_role"),
     )
+
+
+#: Lines of a section that are no player's.
+_NO_PLAYER = r"^(Club |Capt|N°|Officiel|Kiné|Médecin)|^\d{7}\s*$|^Club$"
+
+
+def sections(sheets: DataFrame) -> DataFrame:
+    """(fdm_code, at, section, line): the lines of the home and the away line-up, without headings.
+
+    A section starts at its first ``Club Recevant`` or ``Club Visiteur`` (or ``Club`` with the word on the next
+    line) and ends at the other one or at ``DETAIL``.
+    """
+    by = Window.partitionBy("fdm_code").orderBy("at")
+    rows = lines(sheets).withColumn("next", F.lower(F.lead("line").over(by)))
+    mark = F.lit(None).cast("string")
+    for word in ("recevant", "visiteur"):
+        mark = F.when(F.col("line").rlike(rf"(?i)club\s+{word}") | ((F.col("line") == "Club") & (F.col("next") == word)), word).otherwise(mark)
+    rows = rows.withColumn("mark", F.when(F.col("line").contains("DETAIL"), "").otherwise(mark))
+    rows = rows.withColumn("section", F.last("mark", True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    inside = rows.filter("section <> '' AND lower(line) NOT IN ('recevant', 'visiteur')").filter(~F.col("line").rlike(_NO_PLAYER))
+    return inside.select("fdm_code", "at", "section", "line")
+
+
+def documents(sheets: DataFrame, roles: list[str]) -> DataFrame:
+    """One nested row a sheet: the header's columns, officiels (sorted) and actions (in order); sheets without teams are left out."""
+    people = officials(sheets, roles).groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("role", "nom"))).alias("officiels"))
+    acts = actions(sheets)
+    played = acts.groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("ordre", *[c for c in acts.columns if c not in ("fdm_code", "ordre")]))).alias("actions"))
+    valid = header(sheets).filter("equipe_recevant IS NOT NULL AND equipe_visiteur IS NOT NULL")
+    return valid.join(people, "fdm_code", "left").join(played, "fdm_code", "left")
