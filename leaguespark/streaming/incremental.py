@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -12,10 +13,13 @@ from leaguespark.operators import matches
 
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder below the shared one, for checkpoints and outputs of one stream."""
+    """A new folder below the shared one, for checkpoints and outputs of one stream; one of its own only where none is set and all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        found = tempfile.mkdtemp(prefix="leaguespark-")
+        spark.sparkContext.setCheckpointDir(found)
     return f"{found.rstrip('/')}/streams/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
 
 
