@@ -185,6 +185,36 @@ def lineup_sections(t: T) -> DataFrame:
     return sheets.sections(_lineup_texts(t)).drop("at")
 
 
+@_reg.add("S14_sheet_pages", "SELECT m.fdm_code, CAST(p.page AS INTEGER) AS page, p.head || m.fdm_code AS text FROM {matchs} m, (VALUES (1, 'Feuille '), (2, 'DÉTAIL ')) p(page, head) WHERE m.fdm_code IS NOT NULL")
+def sheet_pages(t: T) -> DataFrame:
+    code = F.col("fdm_code")
+    files = t("matchs").filter("fdm_code IS NOT NULL").select(F.concat(F.lit("file:/sheets/a.b/"), code, F.lit(".txt")).alias("path"), F.encode(F.concat(F.lit("Feuille "), code, F.lit("\fDÉTAIL "), code), "UTF-8").alias("content"))
+    return sheets.text_pages(files)
+
+
+def _player_texts(t: T) -> DataFrame:
+    """Line-ups in six forms of statistics, by the player's id."""
+    rows = t("compositions").filter("numero_maillot IS NOT NULL").join(t("matchs").filter("fdm_code IS NOT NULL").select(F.col("id").alias("match_id"), "fdm_code"), "match_id")
+    form = F.col("joueur_id") % 6
+    goals = F.col("but_count").cast("string")
+    stats = F.when(form == 1, goals).when(form == 2, F.concat(goals, F.lit(" 20"))).when(form == 3, F.concat(goals, F.lit(" 1 20 X 2 X"))).when(form == 4, F.concat(goals, F.lit(" 1  20 9"))).when(form == 5, "3/4 X").otherwise("")
+    kind = F.when(F.col("joueur_id") % 3 == 1, " A ").when(F.col("joueur_id") % 3 == 2, " UEA ").otherwise(" ")
+    line = F.concat(F.when(F.col("joueur_id") % 7 == 0, "X ").otherwise(""), F.col("numero_maillot").cast("string"), F.lit(" LE  GOFF-ÉLIE jean - MEYER 56"), F.lpad(F.col("joueur_id").cast("string"), 10, "0"), kind, stats)
+    side = lambda cote: F.array_join(F.collect_list(F.when(F.col("cote") == cote, line)), "\n")
+    return rows.groupBy("fdm_code").agg(F.concat(F.lit("Club Recevant\nCapt N°\n"), side("dom"), F.lit("\n12 sans licence\nClub Visiteur\n"), side("ext"), F.lit("\nDETAIL\n")).alias("text"))
+
+
+@_reg.add("S18_player_lines", """
+    SELECT m.fdm_code, CASE c.cote WHEN 'dom' THEN 'recevant' ELSE 'visiteur' END AS section, '56' || lpad(CAST(c.joueur_id AS VARCHAR), 10, '0') AS numero_licence, 'LE GOFF-ÉLIE' AS nom, 'jean - MEYER' AS prenom,
+           CASE c.joueur_id % 3 WHEN 1 THEN 'A' WHEN 2 THEN 'UEA' END AS type_licence, CAST(c.numero_maillot AS INTEGER) AS numero_maillot, c.joueur_id % 7 = 0 AS capitaine, c.joueur_id % 6 = 4 AS gardien,
+           CASE WHEN c.joueur_id % 6 BETWEEN 1 AND 4 THEN CAST(c.but_count AS INTEGER) END AS buts, CASE c.joueur_id % 6 WHEN 3 THEN 1 WHEN 4 THEN 1 WHEN 5 THEN 3 END AS sept_metres_reussis, CAST(NULL AS INTEGER) AS sept_metres_tentes,
+           CASE c.joueur_id % 6 WHEN 2 THEN 20 WHEN 3 THEN 20 WHEN 4 THEN 20 WHEN 5 THEN 4 END AS tirs, CASE c.joueur_id % 6 WHEN 4 THEN 9 END AS arrets, c.joueur_id % 6 IN (3, 5) AS avertissement,
+           CASE c.joueur_id % 6 WHEN 3 THEN 2 END AS exclusions_2min, c.joueur_id % 6 = 3 AS disqualifie
+    FROM {compositions} c JOIN {matchs} m ON m.id = c.match_id WHERE m.fdm_code IS NOT NULL AND c.numero_maillot IS NOT NULL""")
+def player_lines(t: T) -> DataFrame:
+    return sheets.players(_player_texts(t)).drop("at")
+
+
 @_reg.add("S21_sheet_documents", "SELECT m.fdm_code, 'Coupe' AS competition, CAST(2 AS INTEGER) AS officiels, CAST(count(*) AS INTEGER) AS actions FROM {matchs} m JOIN {actions} a ON a.match_id = m.id WHERE m.fdm_code IS NOT NULL GROUP BY m.fdm_code")
 def sheet_documents(t: T) -> DataFrame:
     return sheets.documents(_sheet_texts(t), ["Arbitre", "Secretaire"]).select("fdm_code", "competition", F.size("officiels").alias("officiels"), F.size("actions").alias("actions"))

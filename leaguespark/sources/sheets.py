@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -17,6 +17,21 @@ _CLOCK = r"^(\d{1,2}:\d{2})\s+(\d+)\s*-\s*(\d+)(.*)$"
 _ACTOR = r"^(.+?)\s+(J|O)([RV])(?:\s+N°(\d+))?\s+(.+)$"
 
 
+def text_pages(files: DataFrame) -> DataFrame:
+    """(fdm_code, page, text): the pages of extracted texts (path, content), cut at form feeds and counted from 1.
+
+    The code is the file's name without its ending; an empty text is one empty page, a null one none.
+    """
+    code = F.regexp_extract("path", r"([^/]*?)(?:\.[^./]*)?$", 1)
+    return files.select(code.alias("fdm_code"), F.posexplode(F.split(F.decode("content", "UTF-8"), "\f")).alias("page", "text")).withColumn("page", F.col("page") + 1)
+
+
+def read_pages(spark: SparkSession, path: str) -> DataFrame:
+    """The text pages of all ``.txt`` files below a folder; Spark reads no empty files."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", "*.txt").option("recursiveFileLookup", "true").load(path)
+    return text_pages(found.select("path", "content"))
+
+
 def lines(sheets: DataFrame) -> DataFrame:
     """(fdm_code, at, line): trimmed lines of (fdm_code, text), without empty ones."""
     rows = sheets.select("fdm_code", F.posexplode(F.split("text", "\n")).alias("at", "line"))
@@ -106,10 +121,113 @@ def sections(sheets: DataFrame) -> DataFrame:
     return inside.select("fdm_code", "at", "section", "line")
 
 
-def documents(sheets: DataFrame, roles: list[str]) -> DataFrame:
-    """One nested row a sheet: the header's columns, officiels (sorted) and actions (in order); sheets without teams are left out."""
+#: Headings of the statistics columns; the last two are seen, so that their values go to no neighbour, and not used.
+STAT_HEADERS = {"Buts": "buts", "7m": "7m", "Tirs": "tirs", "Arrets": "arrets", "Av.": "av", "2'": "2min", "Dis": "dis", "JFL": "ignore", "JIPES": "ignore"}
+#: Forms of a player's line, of a licence and of the capitals at a name's start.
+_PLAYER = r"^(\d+)\s+(.+?)\s+(\d{10,13})(?:\s+(?!X(?:\s|$))([A-Z]{1,3})(?=\s|$))?\s*(.*)$"
+_LICENCE = r"^\d{10,13}$"
+_CAPITALS = r"^((?:[A-ZÀ-ÖØ-Ý][A-ZÀ-ÖØ-Ý'\\-]*(?:\s+|$))*)(.*)$"
+
+
+def stat_cells(fragments: DataFrame) -> DataFrame:
+    """(fdm_code, numero_licence, cells): what stands under each heading in a licence's row, as a map, from (fdm_code, at, str, x, y, width).
+
+    The headings of a licence are the lowest ones not below it; fragments of its row go to the heading with the
+    nearest middle, the first one under a heading counts. Of a repeated licence the last row counts. Licences
+    with no heading above are left out.
+    """
+    middle = lambda f: f["x"] + f["width"] / 2
+    head = F.struct("at", "str", "x", "y", "width")
+    headings = fragments.filter(F.col("str").isin(*STAT_HEADERS)).groupBy("fdm_code").agg(F.array_sort(F.collect_list(head)).alias("headings"))
+    rows = fragments.filter(F.col("str").rlike(_LICENCE)).select("fdm_code", F.col("at").alias("row"), F.col("str").alias("numero_licence"), F.col("y").alias("row_y")).join(headings, "fdm_code")
+    rows = rows.withColumn("headings", F.filter("headings", lambda h: h["y"] >= F.col("row_y"))).filter(F.size("headings") > 0)
+    rows = rows.withColumn("lowest", F.array_min(F.transform("headings", lambda h: h["y"])))
+    rows = rows.withColumn("headings", F.filter("headings", lambda h: F.abs(h["y"] - F.col("lowest")) < 2)).withColumn("left", F.array_min(F.transform("headings", lambda h: h["x"])) - 10)
+    last = Window.partitionBy("fdm_code", "numero_licence").orderBy(F.desc("row"))
+    rows = rows.withColumn("rank", F.row_number().over(last)).filter("rank = 1").drop("rank", "lowest")
+    values = fragments.filter(~F.col("str").rlike(_LICENCE)).select("fdm_code", "at", "str", "x", "y", "width")
+    near = (F.col("fdm_code") == F.col("of")) & (F.abs(F.col("y") - F.col("row_y")) < 3) & (F.col("x") >= F.col("left"))
+    placed = rows.join(values.withColumnRenamed("fdm_code", "of"), near, "left")
+    gap = lambda h: F.struct(F.abs(middle(h) - (F.col("x") + F.col("width") / 2)).alias("gap"), h["at"].alias("at"), h["str"].alias("name"))
+    names = F.create_map(*[F.lit(x) for pair in STAT_HEADERS.items() for x in pair])
+    placed = placed.withColumn("cell", names[F.array_min(F.transform("headings", gap))["name"]])
+    first = placed.groupBy("fdm_code", "numero_licence", "cell").agg(F.min_by("str", "at").alias("value"))
+    entry = F.when(F.col("value").isNotNull() & (F.col("cell") != "ignore"), F.struct("cell", "value"))
+    return first.groupBy("fdm_code", "numero_licence").agg(F.map_from_entries(F.collect_list(entry)).alias("cells"))
+
+
+def _line_statistics(columns: Column) -> dict[str, Column]:
+    """A player's statistics by the order of the line's tokens: numbers before the first X, then what follows it."""
+    numbers = lambda tokens: F.filter(tokens, lambda c: c.rlike(r"^\d+$"))
+    mark = F.array_position(columns, "X").cast("int")
+    before = F.when(mark > 0, F.slice(columns, 1, F.greatest(mark - 1, F.lit(0)))).otherwise(columns)
+    after = F.when(mark > 0, F.slice(columns, mark + 1, F.size(columns))).otherwise(F.array().cast("array<string>"))
+    second = F.array_position(after, "X").cast("int")
+    between = F.when(second > 0, F.slice(after, 1, F.greatest(second - 1, F.lit(0)))).otherwise(after)
+    at = lambda i: F.get(numbers(before), F.lit(i)).try_cast("int")
+    n = F.size(numbers(before))
+    # "3/4" stands for seven-metre throws scored and tried; the last one counts.
+    half = lambda i: F.filter(F.transform(F.filter(before, lambda c: c.contains("/")), lambda c: F.regexp_extract(c, r"^(\d*)[^/]*/(\d*)", i).try_cast("int")), lambda v: v.isNotNull())
+    return {
+        "buts": at(0),
+        "sept_metres_reussis": F.coalesce(F.try_element_at(half(1), F.lit(-1)), F.when(n >= 3, at(1))),
+        "sept_metres_tentes": F.lit(None).cast("int"),
+        "tirs": F.coalesce(F.try_element_at(half(2), F.lit(-1)), F.when(n == 2, at(1)).otherwise(at(2))),
+        "arrets": at(3),
+        "avertissement": mark > 0,
+        "exclusions_2min": F.get(numbers(between), F.lit(0)).try_cast("int"),
+        "disqualifie": second > 0,
+    }
+
+
+def _cell_statistics(cells: Column) -> dict[str, Column]:
+    """A player's statistics by the cells under the headings."""
+    number = lambda name: text.first_group(cells[name], r"^(\d+)$").try_cast("int")
+    tried = cells["7m"].contains("/")
+    half = lambda i: text.first_group(cells["7m"], r"^\s*(\d*)[^/]*/\s*(\d*)", i).try_cast("int")
+    return {
+        "buts": number("buts"),
+        "sept_metres_reussis": F.when(tried, half(1)).otherwise(number("7m")),
+        "sept_metres_tentes": F.when(tried, half(2)),
+        "tirs": number("tirs"),
+        "arrets": number("arrets"),
+        "avertissement": F.coalesce(cells["av"] == "X", F.lit(False)),
+        "exclusions_2min": number("2min"),
+        "disqualifie": F.coalesce(cells["dis"] == "X", F.lit(False)),
+    }
+
+
+def players(sheets: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """(fdm_code, section, at, numero_licence, nom, prenom, type_licence, numero_maillot, capitaine, gardien and the statistics).
+
+    Lines of the line-ups that are no player's are left out. Statistics come from ``cells`` (as ``stat_cells`` gives
+    them) where they hold the licence, else from the line's tokens. Capitals at the name's start are the family
+    name; a part that is missing is ``?``. A keeper is who stopped a throw.
+    """
+    rows = sections(sheets).withColumn("capitaine", F.col("line").startswith("X ")).withColumn("line", F.trim(F.regexp_replace("line", r"^X ", "")))
+    rows = rows.filter(F.col("line").rlike(_PLAYER))
+    part = lambda i: F.regexp_extract("line", _PLAYER, i)
+    name = lambda i: F.coalesce(F.nullif(F.trim(F.regexp_replace(F.regexp_extract(part(2), _CAPITALS, i), r"\s+", " ")), F.lit("")), F.lit("?"))
+    rows = rows.select(
+        "fdm_code", "section", "at", part(3).alias("numero_licence"), name(1).alias("nom"), name(2).alias("prenom"), F.nullif(part(4), F.lit("")).alias("type_licence"),
+        part(1).try_cast("int").alias("numero_maillot"), "capitaine", F.filter(F.split(part(5), r"\s+"), lambda c: c != "").alias("tokens"),
+    )
+    found = _line_statistics(F.col("tokens"))
+    if cells is not None:
+        rows = rows.join(cells.select("fdm_code", "numero_licence", "cells"), ["fdm_code", "numero_licence"], "left")
+        placed = _cell_statistics(F.col("cells"))
+        found = {name: F.when(F.col("cells").isNotNull(), placed[name]).otherwise(value) for name, value in found.items()}
+    keeper = (F.coalesce(found["arrets"], F.lit(0)) > 0).alias("gardien")
+    kept = [c for c in rows.columns if c not in ("tokens", "cells")]
+    return rows.select(*kept, keeper, *[value.alias(name) for name, value in found.items()])
+
+
+def documents(sheets: DataFrame, roles: list[str], cells: DataFrame | None = None) -> DataFrame:
+    """One nested row a sheet: the header's columns, officiels (sorted), joueurs and actions (both in order); sheets without teams are left out."""
     people = officials(sheets, roles).groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("role", "nom"))).alias("officiels"))
+    named = players(sheets, cells)
+    lineups = named.groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("at", *[c for c in named.columns if c not in ("fdm_code", "at")]))).alias("joueurs"))
     acts = actions(sheets)
     played = acts.groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("ordre", *[c for c in acts.columns if c not in ("fdm_code", "ordre")]))).alias("actions"))
     valid = header(sheets).filter("equipe_recevant IS NOT NULL AND equipe_visiteur IS NOT NULL")
-    return valid.join(people, "fdm_code", "left").join(played, "fdm_code", "left")
+    return valid.join(people, "fdm_code", "left").join(lineups, "fdm_code", "left").join(played, "fdm_code", "left")

@@ -133,3 +133,36 @@ def test_delivery_ladder(spark):
     rows = spark.createDataFrame([(1, "pending", 0, True), (2, "pending", 0, False), (3, "pending", 5, False), (4, "delivered", 1, False)], "id int, status string, attempts int, ok boolean")
     step = matches.next_delivery(F.col("status"), F.col("attempts"), F.col("ok"))
     assert [tuple(r.s) for r in rows.select("id", step.alias("s")).orderBy("id").collect()] == [("delivered", None), ("pending", 60), ("failed", None), ("delivered", None)]
+
+
+def test_sheet_pages(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    (tmp_path / "AB.txt").write_bytes("un\n\fdeux é".encode())
+    (tmp_path / "sub" / "C.D.txt").write_bytes(b"")
+    (tmp_path / "E.pdf").write_bytes(b"x")
+    assert sorted(tuple(r) for r in sheets.read_pages(spark, str(tmp_path)).collect()) == [("AB", 1, "un\n"), ("AB", 2, "deux é")]
+    made = spark.createDataFrame([("/x/N.txt", None), ("C.D.txt", b"")], "path string, content binary")
+    assert [tuple(r) for r in sheets.text_pages(made).collect()] == [("C.D", 1, "")]
+
+
+def test_player_lines_and_cells(spark):
+    lineup = "Club Recevant\nX 95 MACEL dylan 5655011101499 A 1 1 2\n87 MEYER tom - MEYER-MATTA 5657027100665 A 8 9\n23 GROSSE thomas 5657027100959 X 3\nsans numero\nClub Visiteur\n1 jean 5657027100001 B 1 2 3 4 X 1 X\n"
+    rows = spark.createDataFrame([("F", lineup), ("G", None), ("H", "")], "fdm_code string, text string")
+    shown = ("section", "nom", "prenom", "type_licence", "numero_maillot", "capitaine", "gardien", "buts", "sept_metres_reussis", "sept_metres_tentes", "tirs", "arrets", "avertissement", "exclusions_2min", "disqualifie")
+    found = [tuple(r[c] for c in shown) for r in sheets.players(rows).orderBy("at").collect()]
+    assert found == [
+        ("recevant", "MACEL", "dylan", "A", 95, True, False, 1, 1, None, 2, None, False, None, False),
+        ("recevant", "MEYER", "tom - MEYER-MATTA", "A", 87, False, False, 8, None, None, 9, None, False, None, False),
+        ("recevant", "GROSSE", "thomas", None, 23, False, False, None, None, None, None, None, True, 3, False),
+        ("visiteur", "?", "jean", "B", 1, False, True, 1, 2, None, 3, 4, True, 1, True),
+    ]
+    # Headings of two tables; the row below the second takes the second's, two fragments meet under "7m", and JFL keeps its own.
+    parts = [("Buts", 300.0, 700.0), ("7m", 330.0, 700.0), ("Buts", 100.0, 500.0), ("7m", 130.0, 500.5), ("Av.", 160.0, 500.0), ("JFL", 70.0, 500.0),
+             ("5655011101499", 20.0, 450.0), ("4", 101.0, 451.0), ("2/3", 128.0, 450.0), ("9", 133.0, 450.0), ("X", 161.0, 449.0), ("1", 71.0, 450.0), ("8", 101.0, 430.0),
+             ("5657027100665", 20.0, 400.0), ("5657027100959", 20.0, 900.0)]
+    fragments = spark.createDataFrame([("F", i, s, x, y, 8.0) for i, (s, x, y) in enumerate(parts)], "fdm_code string, at int, str string, x double, y double, width double")
+    cells = sheets.stat_cells(fragments)
+    assert {r.numero_licence: r.cells for r in cells.collect()} == {"5655011101499": {"buts": "4", "7m": "2/3", "av": "X"}, "5657027100665": {}}
+    placed = [(r.buts, r.sept_metres_reussis, r.sept_metres_tentes, r.tirs, r.avertissement) for r in sheets.players(rows, cells).orderBy("at").collect()]
+    assert placed == [(4, 2, 3, None, True), (None, None, None, None, False), (None, None, None, None, True), (1, 2, None, 3, True)]
+    assert sheets.documents(rows.limit(0), ["Arbitre"], cells).collect() == []
