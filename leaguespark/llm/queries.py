@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join, pii, quality, secrets, toxicity, url_lists
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join, pii, prefix_trie, quality, secrets, toxicity, url_lists
 from leaguespark.llm.common import crc_mod, read, stash
 
 
@@ -141,6 +141,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(kind) for kind in pii.BASE_KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), likely.alias("n_likely"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_url_lists": op2_url_lists,
@@ -152,6 +156,7 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 OP1_SQL = r"""
@@ -189,5 +194,35 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, min(r.b) AS com
 FROM doc d LEFT JOIN size s USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, s.n
 """
 
+#: DuckDB has no crc32; ``digits`` takes it bit by bit over the decimal id.
+OP13_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS i, d, b
+  FROM (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, strlen(coalesce(text, '')) AS b FROM conversations WHERE conv_id IS NOT NULL)),
+digits(conv_id, rest, k, c) AS (
+  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM t
+  UNION ALL
+  SELECT conv_id, CASE WHEN k = 0 THEN substr(rest, 2) ELSE rest END, (k + 1) % 8,
+         CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END
+  FROM (SELECT *, CASE WHEN k = 0 THEN xor(c, CAST(ascii(rest) AS BIGINT)) ELSE c END AS v FROM digits WHERE rest <> '' OR k > 0)),
+heads AS (SELECT conv_id, xor(c, CAST(4294967295 AS BIGINT)) % 9 AS h FROM digits WHERE rest = '' AND k = 0),
+turns AS (
+  SELECT x.conv_id, t.i, t.d, t.b FROM heads x JOIN t ON t.conv_id = x.conv_id - x.conv_id % 5 AND t.i <= x.h
+  UNION ALL
+  SELECT x.conv_id, t.i, t.d, t.b FROM heads x JOIN t ON t.conv_id = x.conv_id AND t.i > x.h),
+rebuilt AS (SELECT x.conv_id, coalesce(list(u.d ORDER BY u.i) FILTER (u.d IS NOT NULL), []) AS path, coalesce(list(u.b ORDER BY u.i) FILTER (u.d IS NOT NULL), []) AS sizes FROM heads x LEFT JOIN turns u USING (conv_id) GROUP BY x.conv_id),
+member AS (SELECT conv_id, path, sizes, unnest(generate_series(0, len(path))) AS depth FROM rebuilt),
+node AS (
+  SELECT path[:depth] AS prefix, depth, min(conv_id) AS conv_id, count(*) AS n, any_value(coalesce(sizes[depth], 0)) AS b,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends
+  FROM member GROUP BY 1, 2),
+family AS (SELECT prefix[:depth - 1] AS prefix, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+full_node AS (SELECT node.*, coalesce(n_children, 0) AS n_children FROM node LEFT JOIN family USING (prefix)),
+above AS (SELECT unnest(generate_series(0, depth)) AS up, * FROM full_node),
+subtree AS (SELECT prefix[:up] AS prefix, count(*) FILTER (n_children = 0) AS n_leaves, sum(CASE WHEN depth = 0 THEN 0 ELSE (n - 1) * b END) AS saved FROM above GROUP BY 1)
+SELECT f.conv_id, f.depth, p.conv_id AS parent_conv_id, f.n AS n_convs, f.n_children, s.n_leaves, CAST(s.saved AS BIGINT) AS saved_tokens, f.ends AS ends_sha256
+FROM full_node f JOIN subtree s USING (prefix) LEFT JOIN node p ON f.depth > 0 AND p.prefix = f.prefix[:f.depth - 1]
+"""
+
 #: SQL where it can express an operator; the others are tested against brute force or held-out labels.
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_lists": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_ngram_join": OP8_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_lists": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_ngram_join": OP8_SQL, "op13_conversation_trie": OP13_SQL}
