@@ -1,11 +1,11 @@
-"""The registered queries of the ten operators and their SQL."""
+"""The registered queries of the operators and their SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join, pii, prefix_trie, quality, secrets, toxicity, url_lists
+from leaguespark.llm import decontaminate, exact_dedup, langid, mixing, ngram_join, pii, prefix_trie, quality, rule_ledger, runs, secrets, toxicity, url_lists
 from leaguespark.llm.common import crc_mod, read, stash
 
 
@@ -141,6 +141,33 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(kind) for kind in pii.BASE_KINDS], F.sha2(_joined(F.col("base")).cast("binary"), 256).alias("base_sha256"), spans.alias("spans"), likely.alias("n_likely"))
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """A tenth of the documents, by a hash of their ids, with a period written into the words from some place on."""
+    words = F.regexp_extract_all(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.floor(h / 10).alias("g"), F.when(h % 10 == 0, words).alias("w"))
+    rows = rows.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    rows = rows.withColumn("p", 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)))
+    at = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.transform("w", lambda _, i: F.get(F.col("w"), at(i))), " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.detect(_planted(read(spark, sf_dir, "documents")))
+    best = F.array_min(F.transform("__runs", lambda r: F.struct((-r["length"]).alias("length"), r["start"].alias("start"), r["period"].alias("period"))))
+    lines = F.array_join(F.transform("__runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    rows = found.withColumn("best", best)
+    length, period = -F.col("best.length"), F.col("best.period")
+    return rows.select("doc_id", F.size("__runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"), length.alias("length"), period.alias("period"), F.floor(length * 1000 / period).alias("exponent_milli"), F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("__collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+def op12_rule_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    judged = rule_ledger.judge(rule_ledger.ledger(docs))
+    named = [F.col(f"__{m}").alias(m if m == "word_chars" else f"n_{m}") for m in ("words", "word_chars", "symbols", "dup_lines", "repeat_words")]
+    return judged.select("doc_id", *named, (F.col("__failed").bitwiseAND(rule_ledger.BASE) != 0).alias("base_failed"), F.col("__kept").alias("kept"), F.col("__failed").alias("failed_bits"))
+
+
 def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.conversation_trie(read(spark, sf_dir, "conversations"))
 
@@ -156,6 +183,8 @@ QUERIES = {
     "op8_ngram_join": op8_ngram_join,
     "op9_quality": op9_quality,
     "op10_pii": op10_pii,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_rule_ledger": op12_rule_ledger,
     "op13_conversation_trie": op13_conversation_trie,
 }
 
@@ -194,18 +223,67 @@ SELECT d.doc_id, CAST(coalesce(s.n, 0) AS BIGINT) AS n_shingles, min(r.b) AS com
 FROM doc d LEFT JOIN size s USING (doc_id) JOIN reach r ON r.a = d.doc_id GROUP BY d.doc_id, s.n
 """
 
-#: DuckDB has no crc32; ``digits`` takes it bit by bit over the decimal id.
-OP13_SQL = r"""
-WITH RECURSIVE t AS (
-  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS i, d, b
-  FROM (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, strlen(coalesce(text, '')) AS b FROM conversations WHERE conv_id IS NOT NULL)),
-digits(conv_id, rest, k, c) AS (
-  SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM t
+def _digits(key: str, table: str) -> str:
+    """DuckDB has no crc32: a recursive query that takes it bit by bit over the decimal key."""
+    return f"""digits({key}, rest, k, c) AS (
+  SELECT DISTINCT {key}, CAST({key} AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM {table}
   UNION ALL
-  SELECT conv_id, CASE WHEN k = 0 THEN substr(rest, 2) ELSE rest END, (k + 1) % 8,
+  SELECT {key}, CASE WHEN k = 0 THEN substr(rest, 2) ELSE rest END, (k + 1) % 8,
          CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END
   FROM (SELECT *, CASE WHEN k = 0 THEN xor(c, CAST(ascii(rest) AS BIGINT)) ELSE c END AS v FROM digits WHERE rest <> '' OR k > 0)),
-heads AS (SELECT conv_id, xor(c, CAST(4294967295 AS BIGINT)) % 9 AS h FROM digits WHERE rest = '' AND k = 0),
+crcs AS (SELECT {key}, xor(c, CAST(4294967295 AS BIGINT)) AS crc FROM digits WHERE rest = '' AND k = 0)"""
+
+
+OP11_SQL = rf"""
+WITH RECURSIVE {_digits("doc_id", "documents")},
+read AS (SELECT doc_id, crc % 10 = 0 AS planted, crc // 10 AS g, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents JOIN crcs USING (doc_id)),
+period AS (SELECT *, CASE WHEN planted AND len(w) > 0 THEN g % len(w) END AS a, len(w) AS n FROM read),
+doc AS (
+  SELECT doc_id, n, CASE WHEN a IS NULL THEN w ELSE list_transform(generate_series(0, n - 1), lambda i: CASE WHEN i < a THEN w[i + 1] ELSE w[a + (i - a) % (1 + (n - a) // (3 + g % 8)) + 1] END) END AS w
+  FROM period),
+word AS (SELECT doc_id, n, unnest(generate_series(0, n - 1)) AS i, unnest(w) AS word FROM doc),
+same AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM word x JOIN word y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 2 * (y.i - x.i) <= x.n),
+stretch AS (
+  SELECT doc_id, q, min(i) AS s, min(i) + count(*) + q AS e
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same) GROUP BY doc_id, q, island
+  HAVING count(*) + q >= greatest(12, 2 * q)),
+run AS (SELECT doc_id, s, e - s AS length, min(q) AS q FROM stretch GROUP BY doc_id, s, e),
+best AS (SELECT doc_id, count(*) AS n_runs, arg_min([s, length, q], [-length, s, q]) AS b, string_agg(s || ',' || length || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(generate_series(s + q, s + length - 1)) AS i FROM run),
+left_over AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS words FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b[1] AS start, b[2] AS length, b[3] AS period, 1000 * b[2] // b[3] AS exponent_milli,
+       sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(words, '')) AS collapsed_sha256
+FROM doc d LEFT JOIN best USING (doc_id) LEFT JOIN left_over USING (doc_id)
+"""
+
+OP12_SQL = r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents),
+cut AS (SELECT doc_id, i, array_to_string(list_slice(w, i, i + 7), ' ') AS words FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - 7)) AS i FROM d)),
+twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, words) AS n FROM cut) WHERE n > 1),
+inside AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(generate_series(0, 7)) AS k) GROUP BY doc_id),
+m AS (
+  SELECT doc_id, len(w) AS n_words, length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+         len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words, len(lines) AS n_lines,
+         length(regexp_replace(t, '[^A-Z]', '', 'g')) AS capitals, length(regexp_replace(t, '[^!]', '', 'g')) AS shouts
+  FROM d LEFT JOIN inside USING (doc_id)),
+bits AS (
+  SELECT *, CAST(n_words < 20 AS BIGINT) + 2 * CAST(100 * n_repeat_words > 30 * n_words AS BIGINT) + 4 * CAST(word_chars > 15 * n_words AS BIGINT) + 8 * CAST(5 * n_symbols > n_words AS BIGINT)
+         + 16 * CAST(100 * n_dup_lines > 30 * n_lines AS BIGINT) + 32 * CAST(5 * shouts > n_words AS BIGINT) + 64 * CAST(2 * capitals > word_chars AS BIGINT) AS failed
+  FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failed & 3 <> 0 AS base_failed,
+       failed & 43 = 0 AND bit_count(failed & 84) < 2 AS kept, failed AS failed_bits
+FROM bits
+"""
+
+OP13_SQL = rf"""
+WITH RECURSIVE t AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS i, d, b
+  FROM (SELECT conv_id, turn, sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, strlen(coalesce(text, '')) AS b FROM conversations WHERE conv_id IS NOT NULL)),
+{_digits('conv_id', 't')},
+heads AS (SELECT conv_id, crc % 9 AS h FROM crcs),
 turns AS (
   SELECT x.conv_id, t.i, t.d, t.b FROM heads x JOIN t ON t.conv_id = x.conv_id - x.conv_id % 5 AND t.i <= x.h
   UNION ALL
@@ -225,4 +303,4 @@ FROM full_node f JOIN subtree s USING (prefix) LEFT JOIN node p ON f.depth > 0 A
 """
 
 #: SQL where it can express an operator; the others are tested against brute force or held-out labels.
-ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_lists": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_ngram_join": OP8_SQL, "op13_conversation_trie": OP13_SQL}
+ORACLES: dict[str, str] = {"op1_decontaminate": OP1_SQL, "op2_url_lists": OP2_SQL, "op7_exact_dedup": OP7_SQL, "op8_ngram_join": OP8_SQL, "op11_periodic_runs": OP11_SQL, "op12_rule_ledger": OP12_SQL, "op13_conversation_trie": OP13_SQL}
