@@ -8,14 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from leaguespark.plans.league import League
-from leaguespark.sources import pages, sheets
+from leaguespark.sources import markup, pages, sheets
 
 _reg = League()
 QUERIES, ORACLES = _reg.queries, _reg.oracles
 T = Callable[[str], DataFrame]
 
 
-def _part(name: str, value: Column) -> Column:
+def _part(name: str, value: Column, single: bool = False) -> Column:
+    """A component as pages write it: JSON in a double-quoted attribute behind the name, or in a single-quoted one before it."""
+    if single:
+        held = F.replace(F.replace(F.to_json(value), F.lit("&"), F.lit("&amp;")), F.lit("'"), F.lit("&#39;"))
+        return F.concat(F.lit("<page-component\n  Attributes='"), held, F.lit(f"' data-x = 1 name={name}></page-component>"))
     return F.concat(F.lit(f'<page-component name="{name}" class="x" attributes="'), pages.escape(F.to_json(value)), F.lit('"></page-component>'))
 
 
@@ -24,7 +28,7 @@ def html_table(t: T) -> DataFrame:
     cell = lambda name, value: F.concat(F.lit(f'<td class="{name}"> '), pages.escape(value), F.lit("\n</td>"))
     row = F.concat(F.when(F.col("departement_id") % 2 == 0, F.concat(F.lit('<tr class="club-row" data-id="'), F.col("id_ffhb"), F.lit('">'))).otherwise(F.lit('<tr class="club-row">')),
                    cell("id", F.col("id_ffhb")), cell("nom", F.concat(F.col("nom"), F.lit("  & <b>Cie</b>"))), cell("ville", F.when(F.col("departement_id") % 4 > 0, F.col("ville")).otherwise(" ")), cell("dept", F.col("departement_id").cast("string")), F.lit("</tr>"))
-    listed = t("clubs").groupBy(F.col("ligue_id").alias("url")).agg(F.concat(F.lit("<table><tr><th>Club</th></tr>"), F.array_join(F.collect_list(row), ""), F.lit("</table>")).alias("html"))
+    listed = t("clubs").groupBy(F.concat_ws("/", "ligue_id", "departement_id").alias("url")).agg(F.concat(F.lit("<table><tr><th>Club</th></tr>"), F.array_join(F.collect_list(row), ""), F.lit("</table>")).alias("html"))
     return pages.club_table(listed.withColumn("html", F.replace("html", F.lit("&lt;b&gt;"), F.lit("<b>"))).withColumn("html", F.replace("html", F.lit("&lt;/b&gt;"), F.lit("</b>")))).drop("url")
 
 
@@ -39,8 +43,21 @@ def attribute_json(t: T) -> DataFrame:
 def slugs(t: T) -> DataFrame:
     url = F.when(F.col("departement_id") % 5 > 0, F.concat(F.lit("https://clubs.example.org/clubs/club-"), F.col("id_ffhb"), F.lit("/"))).otherwise("https://example.org/autre")
     feature = F.struct(F.struct(url.alias("url")).alias("properties"))
-    listed = t("clubs").groupBy("ligue_id").agg(F.collect_list(feature).alias("features"))
-    return pages.slugs(listed.select(_part("home-hero", F.struct(F.struct("features").alias("geojson"))).alias("html")))
+    listed = t("clubs").groupBy("ligue_id", "departement_id").agg(F.collect_list(feature).alias("features"))
+    return pages.slugs(listed.select(_part(pages.HERO, F.struct(F.struct("features").alias("geojson")), single=True).alias("html")))
+
+
+@_reg.add("S5_page_attributes", r"""
+    SELECT page_id, regexp_extract(plain, '<html[^>]* lang="([^"]*)"', 1) AS lang, regexp_extract(plain, '<meta[^>]* charset="([^"]*)"', 1) AS charset,
+           CAST(len(links) AS BIGINT) AS n_links, sha256(array_to_string(links, chr(10))) AS links_sha256
+    FROM (SELECT page_id, plain, list_transform(regexp_extract_all(plain, '<a [^>]*href="([^"]*)"', 1), lambda x: replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&')) AS links
+          FROM (SELECT page_id, regexp_replace(regexp_replace(coalesce(html, ''), '<!--.*?-->', '', 'gs'), '<(script|style|title)[ >].*?</(script|style|title)', '', 'gs') AS plain FROM {pages}))""")
+def page_attributes(t: T) -> DataFrame:
+    """Attributes of the given pages: their language and character set, and where their links lead."""
+    rows = t("pages").select("page_id", markup.attributes(F.col("html"), ("html", "lang"), ("meta", "charset"), ("a", "href")).alias("found"))
+    of = lambda tag: F.transform(F.filter("found", lambda x: x["tag"] == tag), lambda x: x["value"])
+    first = lambda tag: F.coalesce(F.get(of(tag), F.lit(0)), F.lit(""))
+    return rows.select("page_id", first("html").alias("lang"), first("meta").alias("charset"), F.size(of("a")).cast("long").alias("n_links"), F.sha2(F.array_join(of("a"), "\n").cast("binary"), 256).alias("links_sha256"))
 
 
 @_reg.add("S7_club_details", """
@@ -51,14 +68,66 @@ def club_details(t: T) -> DataFrame:
     code = F.concat(F.lpad(F.col("departement_id").cast("string"), 2, "0"), F.lit("150"))
     gyms = F.when(F.col("departement_id") % 3 > 0, F.array(F.struct(F.concat(F.lit("HALL  "), F.col("nom")).alias("name_gym"), code.alias("zipcode_gym"))))
     acf = F.struct(F.col("id_ffhb").alias("id_club"), F.col("ville").alias("city_club"), code.alias("zipcode_club"), F.lit(" rue 1 ").alias("address_club"), F.lower("nom").alias("address_club_2"), F.when(F.col("departement_id") % 2 == 0, "http://c.example.org").otherwise("http://").alias("url_club"), gyms.alias("gyms_club"))
-    found = pages.club_details(t("clubs").select(_part("single-club", F.struct(F.struct(F.col("nom").alias("post_title"), acf.alias("acf")).alias("post"))).alias("html")))
+    found = pages.club_details(t("clubs").select(F.lit("https://x/").alias("url"), _part(pages.CLUB, F.struct(F.struct(F.col("nom").alias("post_title"), acf.alias("acf")).alias("post"))).alias("html")))
     return found.select("id_ffhb", "nom", "ville", "departement_code", "adresse", "site_web", F.col("salle.id_ffhb").alias("salle"))
 
 
+def _club_pages(t: T) -> DataFrame:
+    """A page for each club, with all fields; some addresses, numbers and halls are of a form that isn't accepted."""
+    d = F.col("departement_id")
+    code = F.concat(F.lpad(d.cast("string"), 2, "0"), F.lit("150"))
+    gym = F.struct(F.when(d % 3 > 0, F.concat(F.lit(" HALL "), "nom")).otherwise(" ").alias("name_gym"), F.lit("1 place").alias("adress_gym"), F.when(d % 4 == 1, "123").otherwise(code).alias("zipcode_gym"), F.col("ville").alias("city_gym"), F.lit("48.5").alias("latitude_gym"), F.lit("").alias("longitude_gym"))
+    acf = F.struct(
+        F.when(d == 24, F.concat(F.lit("x"), "id_ffhb")).otherwise(F.col("id_ffhb")).alias("id_club"), F.col("ville").alias("city_club"), code.alias("zipcode_club"), F.lit("rue 1").alias("address_club"), F.lit("bat. 2").alias("address_club_2"),
+        F.when(d % 6 == 5, "c.example.org").otherwise("http://c.example.org").alias("url_club"), F.lit(" 01 02 ").alias("tel_club"), F.when(d % 7 == 6, "nobody").otherwise(F.col("email")).alias("email_club"), F.lit("48.8").alias("latitude_club"),
+        F.when(d % 8 == 7, "east").otherwise("2.5").alias("longitude_club"), F.lit("logo.png").alias("logo_club"), d.cast("string").alias("nb_licence_senior_h_club"), F.when(d % 9 == 8, "-1").otherwise("").alias("nb_licence_jeunes_f_club"), F.array(gym).alias("gyms_club"),
+    )
+    return t("clubs").select(F.concat(F.lit("https://clubs.example.org/clubs/"), "id_ffhb").alias("url"), _part(pages.CLUB, F.struct(F.struct(F.col("nom").alias("post_title"), F.concat(F.lit("club-"), "id_ffhb").alias("post_name"), acf.alias("acf")).alias("post")), single=True).alias("html"))
+
+
+_CLUB_FAULTS = """
+    SELECT *, lpad(CAST(departement_id AS VARCHAR), 2, '0') AS d2, lpad(CAST(departement_id AS VARCHAR), 2, '0') || '150' AS code,
+           list_filter([CASE WHEN departement_id = 24 THEN 'id_ffhb' END, CASE WHEN departement_id % 7 = 6 THEN 'email' END, CASE WHEN departement_id % 6 = 5 THEN 'site_web' END,
+                        CASE WHEN departement_id % 8 = 7 THEN 'longitude' END, CASE WHEN departement_id % 9 = 8 THEN 'nb_licence_jeunes_f' END], lambda x: x IS NOT NULL) AS faults
+    FROM {clubs}"""
+
+
+@_reg.add("S7_club_documents", f"""
+    SELECT id_ffhb, nom, 'club-' || id_ffhb AS slug, ville, CASE WHEN departement_id = 20 THEN '2A' ELSE d2 END AS departement_code, 'rue 1 bat. 2' AS adresse, 'http://c.example.org' AS site_web, '01 02' AS telephone, email,
+           CAST(48.8 AS DOUBLE) AS latitude, CAST(2.5 AS DOUBLE) AS longitude, 'logo.png' AS logo_club, CAST(departement_id AS INTEGER) AS nb_licence_senior_h, CAST(0 AS INTEGER) AS nb_licence_jeunes_f, CAST(NULL AS INTEGER) AS nb_licence_senior_f,
+           CASE WHEN has THEN regexp_replace('hall-' || lower(nom) || '-' || code || '-' || lower(ville), '[^a-z0-9]+', '-', 'g') END AS salle_id, CASE WHEN has THEN 'HALL ' || nom END AS salle_nom, CASE WHEN has THEN code END AS salle_code_postal, CASE WHEN has THEN CAST(0 AS DOUBLE) END AS salle_longitude
+    FROM (SELECT *, departement_id % 3 > 0 AND departement_id % 4 <> 1 AS has FROM ({_CLUB_FAULTS}) WHERE len(faults) = 0)""")
+def club_documents(t: T) -> DataFrame:
+    found = pages.club_documents(_club_pages(t))["clubs"]
+    hall = [F.col(f"salle.{c}").alias(n) for c, n in (("id_ffhb", "salle_id"), ("nom", "salle_nom"), ("code_postal", "salle_code_postal"), ("longitude", "salle_longitude"))]
+    return found.drop("url", "register_link", "nb_licence_jeunes_h").select(*[c for c in ("id_ffhb", "nom", "slug", "ville", "departement_code", "adresse", "site_web", "telephone", "email", "latitude", "longitude", "logo_club", "nb_licence_senior_h", "nb_licence_jeunes_f", "nb_licence_senior_f")], *hall)
+
+
+@_reg.add("S7_club_rejects", f"SELECT CASE WHEN departement_id = 24 THEN 'x' || id_ffhb ELSE id_ffhb END AS id_ffhb, array_to_string(faults, ',') AS fields FROM ({_CLUB_FAULTS}) WHERE len(faults) > 0")
+def club_rejects(t: T) -> DataFrame:
+    return pages.club_documents(_club_pages(t))["rejets"].select("id_ffhb", F.array_join("fields", ",").alias("fields"))
+
+
 def _competition_list(t: T) -> DataFrame:
-    item = lambda suffix: F.struct(F.col("id_ffhb").alias("ext_competitionId"), F.concat(F.col("nom"), F.lit(suffix)).alias("libelle"), F.when(F.col("niveau") == "national", "COUPE_DE_FRANCE").otherwise(F.upper("niveau")).alias("type"))
-    listed = t("competitions").groupBy(F.lit("u").alias("url")).agg(F.flatten(F.array(F.collect_list(item("")), F.collect_list(item(" bis")))).alias("competitions"), F.collect_set(F.when(F.col("niveau") == "national", "COUPE_DE_FRANCE").otherwise(F.upper("niveau"))).alias("available_types"))
-    return listed.select("url", _part("competitions-list", F.struct("competitions", "available_types")).alias("html"))
+    """A page for each section and fifty ids, on which every competition stands twice."""
+    kind = F.when(F.col("niveau") == "national", "COUPE_DE_FRANCE").otherwise(F.upper("niveau"))
+    item = lambda suffix: F.struct(F.col("id_ffhb").alias("ext_competitionId"), F.concat(F.col("nom"), F.lit(suffix)).alias("libelle"), kind.alias("type"), F.when(F.col("id") % 2 == 0, "FEMININ").alias("genre"), F.concat(F.lit("K"), F.col("id").cast("string")).alias("code"), F.lit("S1").alias("structureId"), (F.col("id") % 2).cast("string").alias("afficherStatsJoueurs"))
+    organ = F.struct(F.concat(F.lit("S"), F.col("id").cast("string")).alias("ext_structureId"), F.when(F.col("id") % 3 > 0, F.concat(F.lit(" Ligue "), F.col("nom"))).alias("libelle"), F.upper("niveau").alias("type"))
+    listed = t("competitions").groupBy("niveau", F.floor(F.col("id") / 50).alias("page")).agg(F.flatten(F.array(F.collect_list(item("")), F.collect_list(item(" bis")))).alias("competitions"), F.collect_set(kind).alias("available_types"), F.collect_list(organ).alias("structures"))
+    return listed.select(F.concat_ws("/", "niveau", "page").alias("url"), _part(pages.MENU, F.struct("competitions", "available_types", "structures")).alias("html"))
+
+
+@_reg.add("S8_competition_documents", """
+    SELECT id_ffhb AS ext_competition_id, nom, niveau, CASE WHEN id % 2 = 0 THEN 'F' END AS sexe, 'K' || CAST(id AS VARCHAR) AS code, 'S1' AS ext_structure_id, id % 2 = 1 AS afficher_stats_joueurs,
+           'https://league.example.org/competitions/saison-1/' || CASE niveau WHEN 'national' THEN 'coupe-de-france' ELSE niveau END || '/' || regexp_replace(lower(nom), '[^a-z0-9]+', '-', 'g') || '-' || id_ffhb || '/' AS detail_url
+    FROM {competitions}""")
+def competition_documents(t: T) -> DataFrame:
+    return pages.competition_documents(_competition_list(t)).drop("url")
+
+
+@_reg.add("S9_structures", "SELECT 'S' || CAST(id AS VARCHAR) AS ext_structure_id, 'Ligue ' || nom AS libelle, upper(niveau) AS type FROM {competitions} WHERE id % 3 > 0")
+def structures(t: T) -> DataFrame:
+    return pages.structures(_competition_list(t)).select("ext_structure_id", "libelle", "type")
 
 
 @_reg.add("S8_competition_list", "SELECT id_ffhb AS ext_competition_id, nom, niveau, regexp_replace(lower(nom), '[^a-z0-9]+', '-', 'g') AS slug FROM {competitions}")
@@ -80,7 +149,7 @@ def _detail(t: T) -> dict[str, DataFrame]:
     teams = team.groupBy("competition_id").agg(F.collect_list(F.struct(F.col("id_ffhb").alias("ext_equipeId"), F.col("nom").alias("libelle"), inner("poule_id").alias("pouleId"))).alias("equipe_options"))
     rows = phases.join(poules, "competition_id").join(teams, "competition_id")
     even = F.col("competition_id") % 2 == 0
-    html = F.concat(_part("poule-selector", F.struct("phases", "poules", F.when(~even, F.col("equipe_options")).alias("equipe_options"))), F.when(even, _part("calendar-button", F.struct(F.col("equipe_options").alias("equipes")))).otherwise(""))
+    html = F.concat(_part(pages.SELECTOR, F.struct("phases", "poules", F.when(~even, F.col("equipe_options")).alias("equipe_options")), single=True), F.when(even, _part(pages.CALENDAR, F.struct(F.col("equipe_options").alias("equipes")))).otherwise(""))
     return pages.competition_detail(rows.select(F.col("competition_id").cast("string").alias("url"), html.alias("html")))
 
 
@@ -94,44 +163,115 @@ def competition_engagements(t: T) -> DataFrame:
     return _detail(t)["engagements"]
 
 
+@_reg.add("S10_competition_phases", "SELECT CAST(competition_id AS VARCHAR) AS url, id_ffhb AS ext_phase_id, nom FROM {phases} ph WHERE EXISTS (SELECT 1 FROM {engagements} e JOIN {poules} po ON po.id = e.poule_id JOIN {phases} x ON x.id = po.phase_id WHERE x.competition_id = ph.competition_id)")
+def competition_phases(t: T) -> DataFrame:
+    return _detail(t)["phases"]
+
+
+@_reg.add("S10_competition_teams", "SELECT DISTINCT q.id_ffhb AS ext_equipe_id, trim(q.nom) AS nom FROM {engagements} e JOIN {equipes} q ON q.id_ffhb = e.id_ffhb")
+def competition_teams(t: T) -> DataFrame:
+    return _detail(t)["equipes"].select("ext_equipe_id", "nom")
+
+
+#: The home teams of a poule, ranked; some lines lack a number, some name a team that no page knows.
+_RANKS = """
+    SELECT poule_id, equipe_id, row_number() OVER (PARTITION BY poule_id ORDER BY points DESC, equipe_id) AS place, points, joues, gagnes, nuls, perdus, buts_pour, buts_contre
+    FROM (SELECT poule_id, equipe_dom_id AS equipe_id, count(*) AS joues, count(CASE WHEN score_dom > score_ext THEN 1 END) AS gagnes, count(CASE WHEN score_dom = score_ext THEN 1 END) AS nuls,
+                 count(CASE WHEN score_dom < score_ext THEN 1 END) AS perdus, CAST(sum(CASE WHEN score_dom > score_ext THEN 3 WHEN score_dom = score_ext THEN 2 ELSE 1 END) AS BIGINT) AS points,
+                 CAST(sum(coalesce(score_dom, 0)) AS BIGINT) AS buts_pour, CAST(sum(coalesce(score_ext, 0)) AS BIGINT) AS buts_contre
+          FROM {matchs} GROUP BY poule_id, equipe_dom_id)"""
+
+
 def _poule_pages(t: T) -> DataFrame:
-    """A page for each poule: its teams, its matches (some of another poule, some of a team with itself) and its statistics."""
+    """A page for each poule: its teams, its matches (some of another poule, of a team with itself, of unknown teams, without a date), its ranking and its statistics."""
     inner = lambda c: F.concat(F.lit("i"), F.col(c).cast("string"))
-    m = t("matchs").join(t("equipes").select(F.col("id").alias("equipe_ext_id")), "equipe_ext_id", "left_semi")
-    sides = m.select("poule_id", F.explode(F.array("equipe_dom_id", "equipe_ext_id")).alias("id")).distinct().join(t("equipes").select("id", "id_ffhb", "nom"), "id")
-    options = sides.groupBy("poule_id").agg(F.collect_list(F.struct(inner("id").alias("id"), F.col("id_ffhb").alias("ext_equipeId"), F.concat_ws(" ", "nom", F.col("id").cast("string")).alias("libelle"))).alias("equipe_options"), F.to_json(F.array(F.struct(F.lit("1").alias("journee_numero"), F.lit("2025-09-01").alias("date_debut")))).alias("__rounds"))
+    m = t("matchs")
+    known = m.join(t("equipes").select(F.col("id").alias("equipe_ext_id")), "equipe_ext_id", "left_semi")
+    sides = known.select("poule_id", F.explode(F.array("equipe_dom_id", "equipe_ext_id")).alias("id")).distinct().join(t("equipes").select("id", "id_ffhb", "nom"), "id")
+    rounds = F.transform(F.sequence(F.lit(1), F.lit(11)), lambda i: F.struct(i.cast("string").alias("journee_numero"), F.format_string("2025-09-%02d", i).alias("date_debut")))
+    options = sides.groupBy("poule_id").agg(F.collect_list(F.struct(inner("id").alias("id"), F.col("id_ffhb").alias("ext_equipeId"), F.concat_ws(" ", "nom", F.col("id").cast("string")).alias("libelle"))).alias("equipe_options"))
     own = F.concat(F.lit("PO"), F.col("poule_id").cast("string"))
     met = F.struct(
         F.col("id_ffhb_match").alias("ext_rencontreId"), F.when(F.col("id") % 13 == 0, "PO?").otherwise(own).alias("extPouleId"), inner("equipe_dom_id").alias("equipe1Id"), F.when(F.col("id") % 17 == 0, inner("equipe_dom_id")).otherwise(inner("equipe_ext_id")).alias("equipe2Id"),
-        F.date_format("date_heure", "yyyy-MM-dd'T'HH:mm:ss").alias("date"), F.col("score_dom").cast("string").alias("equipe1Score"), F.when(F.col("statut") == "forfait", "fo ").otherwise(F.col("score_ext").cast("string")).alias("equipe2Score"), F.col("journee").cast("string").alias("journeeNumero"), F.col("fdm_code").alias("fdmCode"),
+        F.when(F.col("id") % 19 > 0, F.date_format("date_heure", "yyyy-MM-dd'T'HH:mm:ss'Z'")).otherwise("soon").alias("date"), F.col("score_dom").cast("string").alias("equipe1Score"), F.when(F.col("statut") == "forfait", "fo ").otherwise(F.col("score_ext").cast("string")).alias("equipe2Score"), F.col("journee").cast("string").alias("journeeNumero"), F.col("fdm_code").alias("fdmCode"),
     )
     listed = m.groupBy("poule_id").agg(F.collect_list(met).alias("rencontres"))
+    r = t.sql(_RANKS)
+    as_text = lambda c, name: F.col(c).cast("string").alias(name)
+    rank = F.struct(
+        F.concat_ws("-", F.lit("R"), F.col("poule_id").cast("string"), F.col("equipe_id").cast("string")).alias("ext_classementId"), F.when(F.col("equipe_id") % 11 == 0, "ghost").otherwise(inner("equipe_id")).alias("equipeId"), as_text("place", "place"),
+        F.concat(F.col("points").cast("string"), F.lit(" pts")).alias("point"), as_text("joues", "joue"), as_text("gagnes", "gagne"), F.when(F.col("equipe_id") % 7 > 0, F.col("nuls").cast("string")).otherwise("-").alias("nul"), as_text("perdus", "perdu"),
+        as_text("buts_pour", "butPlus"), F.when(F.col("equipe_id") % 6 > 0, F.col("buts_contre").cast("string")).alias("butMoins"), F.lit("1;0;-1").alias("dernieresRencontres"),
+    )
+    ranked = r.groupBy("poule_id").agg(F.collect_list(rank).alias("classements"))
     s = t("stats_joueurs").join(t("equipes").select(F.col("id").alias("equipe_id"), "nom"), "equipe_id")
-    line = F.struct(F.col("joueur_id").alias("individuId"), F.concat_ws(" ", "nom", F.col("equipe_id").cast("string")).alias("equipeLibelle"), F.col("total_buts").alias("totalButs"))
+    line = F.struct(as_text("joueur_id", "individuId"), F.lit("N").alias("nom"), F.when(F.col("joueur_id") % 23 > 0, "P").alias("prenom"), F.concat_ws(" ", "nom", F.col("equipe_id").cast("string")).alias("equipeLibelle"), as_text("match_count", "matchCount"), F.col("total_buts").alias("totalButs"), F.lit("0").alias("totalArrets"))
     stats = s.groupBy("poule_id").agg(F.collect_list(line).alias("rowsData"))
-    rows = options.join(listed, "poule_id").join(stats, "poule_id", "left")
-    html = F.concat(_part("page-header", F.struct((F.col("poule_id") % 5 == 0).alias("is404"))), _part("poule-selector", F.struct("equipe_options", F.struct(F.col("__rounds").alias("journees")).alias("selected_poule"))), _part("rencontre-list", F.struct("rencontres")), _part("stats-joueurs", F.struct("rowsData")))
-    return rows.select(own.alias("url"), own.alias("ext_poule_id"), html.alias("html"))
+    rows = options.join(listed, "poule_id").join(ranked, "poule_id", "left").join(stats, "poule_id", "left")
+    html = F.concat(
+        _part(pages.HEADER, F.struct((F.col("poule_id") % 5 == 0).alias("is404"))), _part(pages.SELECTOR, F.struct("equipe_options", F.struct(F.to_json(rounds).alias("journees")).alias("selected_poule")), single=True),
+        _part(pages.MATCHES, F.struct("rencontres")), _part(pages.RANKING, F.struct("classements"), single=True), _part(pages.STATISTICS, F.struct("rowsData")),
+    )
+    return rows.select(F.concat(F.lit("https://league.example.org/"), own).alias("url"), own.alias("ext_poule_id"), html.alias("html"))
+
 
+#: The matches that a page gives: of the poule, of two known teams.
+_LISTED = """
+    SELECT m.*, CASE WHEN m.id % 19 > 0 THEN strftime(m.date_heure, '%Y-%m-%dT%H:%M:%SZ') END AS moment, CASE WHEN m.journee <= 11 THEN '2025-09-' || lpad(CAST(m.journee AS VARCHAR), 2, '0') END AS debut
+    FROM {matchs} m JOIN {equipes} e ON e.id = m.equipe_ext_id WHERE m.id % 13 > 0 AND m.id % 17 > 0 AND m.equipe_dom_id <> m.equipe_ext_id"""
 
-@_reg.add("S11_match_list", """
-    SELECT m.id_ffhb_match AS ext_rencontre_id, 'PO' || CAST(m.poule_id AS VARCHAR) AS ext_poule_id, CAST(m.equipe_dom_id AS VARCHAR) AS ext_equipe_dom_id, CAST(m.equipe_ext_id AS VARCHAR) AS ext_equipe_ext_id, strftime(m.date_heure, '%Y-%m-%dT%H:%M:%S') AS date_heure,
-           CAST(m.score_dom AS INTEGER) AS score_dom, CAST(m.score_ext AS INTEGER) AS score_ext, false AS forfait_dom, m.statut = 'forfait' AS forfait_ext, m.journee, m.fdm_code
-    FROM {matchs} m JOIN {equipes} e ON e.id = m.equipe_ext_id WHERE m.id % 13 > 0 AND m.id % 17 > 0 AND m.equipe_dom_id <> m.equipe_ext_id""")
+
+@_reg.add("S11_match_list", f"""
+    SELECT id_ffhb_match AS ext_rencontre_id, 'PO' || CAST(poule_id AS VARCHAR) AS ext_poule_id, CAST(equipe_dom_id AS VARCHAR) AS ext_equipe_dom_id, CAST(equipe_ext_id AS VARCHAR) AS ext_equipe_ext_id, moment AS date_heure, debut AS journee_date_debut,
+           CAST(score_dom AS INTEGER) AS score_dom, CAST(score_ext AS INTEGER) AS score_ext, false AS forfait_dom, statut = 'forfait' AS forfait_ext, journee, fdm_code, 'https://league.example.org/PO' || CAST(poule_id AS VARCHAR) AS source_url
+    FROM ({_LISTED}) WHERE journee > 0 AND (moment IS NOT NULL OR debut IS NOT NULL)""")
 def match_list(t: T) -> DataFrame:
-    return pages.match_list(_poule_pages(t))["matchs"]
+    return pages.match_list(_poule_pages(t))["matchs"].select("ext_rencontre_id", "ext_poule_id", "ext_equipe_dom_id", "ext_equipe_ext_id", "date_heure", "journee_date_debut", "score_dom", "score_ext", "forfait_dom", "forfait_ext", "journee", "fdm_code", "source_url")
 
 
-@_reg.add("S13_player_stats", "SELECT 'PO' || CAST(s.poule_id AS VARCHAR) AS ext_poule_id, CASE WHEN p.id IS NOT NULL THEN CAST(s.equipe_id AS VARCHAR) END AS ext_equipe_id, s.joueur_id, s.total_buts FROM {stats_joueurs} s JOIN {equipes} e ON e.id = s.equipe_id LEFT JOIN (SELECT DISTINCT poule_id, id FROM (SELECT m.poule_id, m.equipe_dom_id AS id FROM {matchs} m JOIN {equipes} x ON x.id = m.equipe_ext_id UNION SELECT m.poule_id, m.equipe_ext_id FROM {matchs} m JOIN {equipes} x ON x.id = m.equipe_ext_id)) p ON p.poule_id = s.poule_id AND p.id = s.equipe_id WHERE s.poule_id % 5 > 0 AND s.poule_id IN (SELECT m.poule_id FROM {matchs} m JOIN {equipes} x ON x.id = m.equipe_ext_id)")
-def player_stats(t: T) -> DataFrame:
-    found = pages.table_rows(_poule_pages(t), "stats-joueurs")
-    return found.select("ext_poule_id", "ext_equipe_id", F.get_json_object("row", "$.individuId").cast("long").alias("joueur_id"), F.get_json_object("row", "$.totalButs").cast("long").alias("total_buts"))
+@_reg.add("S11_match_rejects", f"SELECT id_ffhb_match AS ext_rencontre_id, concat_ws(',', CASE WHEN moment IS NULL AND debut IS NULL THEN 'date_heure' END, CASE WHEN journee IS NULL THEN 'journee' END) AS fields FROM ({_LISTED}) WHERE journee IS NULL OR moment IS NULL AND debut IS NULL")
+def match_rejects(t: T) -> DataFrame:
+    return pages.match_list(_poule_pages(t))["rejets"].select("ext_rencontre_id", F.array_join("fields", ",").alias("fields"))
+
+
+@_reg.add("S11_rounds", "SELECT 'PO' || CAST(p.poule_id AS VARCHAR) AS ext_poule_id, CAST(r.n AS INTEGER) AS numero, '2025-09-' || lpad(CAST(r.n AS VARCHAR), 2, '0') AS date_debut FROM (SELECT DISTINCT m.poule_id FROM {matchs} m JOIN {equipes} e ON e.id = m.equipe_ext_id) p, (SELECT unnest(generate_series(1, 11)) AS n) r")
+def rounds(t: T) -> DataFrame:
+    return pages.match_list(_poule_pages(t))["journees"].drop("date_fin")
+
 
+_LINES = f"""
+    SELECT r.*, concat_ws(',', CASE WHEN r.equipe_id % 7 = 0 THEN 'nuls' END, CASE WHEN r.equipe_id % 6 = 0 THEN 'buts_contre' END) AS faults
+    FROM ({_RANKS}) r WHERE r.equipe_id % 11 > 0
+      AND EXISTS (SELECT 1 FROM {{matchs}} m JOIN {{equipes}} e ON e.id = m.equipe_ext_id WHERE m.poule_id = r.poule_id AND r.equipe_id IN (m.equipe_dom_id, m.equipe_ext_id))"""
 
-@_reg.add("S12_ranking", "SELECT ext_poule_id, ext_equipe_id, count(*) AS n FROM (SELECT 'PO' || CAST(m.poule_id AS VARCHAR) AS ext_poule_id, unnest([CAST(m.equipe_dom_id AS VARCHAR), CAST(m.equipe_ext_id AS VARCHAR)]) AS ext_equipe_id FROM {matchs} m JOIN {equipes} e ON e.id = m.equipe_ext_id) GROUP BY ALL HAVING count(*) > 0".replace("count(*) AS n", "CAST(1 AS BIGINT) AS n"))
+
+@_reg.add("S12_ranking", f"""
+    SELECT 'R-' || CAST(poule_id AS VARCHAR) || '-' || CAST(equipe_id AS VARCHAR) AS ext_classement_id, 'PO' || CAST(poule_id AS VARCHAR) AS ext_poule_id, CAST(equipe_id AS VARCHAR) AS ext_equipe_id, CAST(place AS INTEGER) AS position, CAST(points AS INTEGER) AS points,
+           CAST(joues AS INTEGER) AS joues, CAST(gagnes AS INTEGER) AS gagnes, CAST(nuls AS INTEGER) AS nuls, CAST(perdus AS INTEGER) AS perdus, CAST(buts_pour AS INTEGER) AS buts_pour, CAST(buts_contre AS INTEGER) AS buts_contre, '1;0;-1' AS dernieres_rencontres,
+           'https://league.example.org/PO' || CAST(poule_id AS VARCHAR) AS source_url
+    FROM ({_LINES}) WHERE faults = ''""")
 def ranking(t: T) -> DataFrame:
-    """The teams that a poule's page ranks, each once."""
-    return pages.match_list(_poule_pages(t))["engagements"].withColumn("n", F.lit(1).cast("long"))
+    """The lines of the poules' rankings, their teams found by the page's own ids."""
+    return pages.ranking(_poule_pages(t))["lignes"]
+
+
+@_reg.add("S12_ranking_rejects", f"SELECT 'R-' || CAST(poule_id AS VARCHAR) || '-' || CAST(equipe_id AS VARCHAR) AS ext_classement_id, faults AS fields FROM ({_LINES}) WHERE faults <> ''")
+def ranking_rejects(t: T) -> DataFrame:
+    return pages.ranking(_poule_pages(t))["rejets"].select("ext_classement_id", F.array_join("fields", ",").alias("fields"))
+
+
+@_reg.add("S13_player_statistics", """
+    SELECT 'PO' || CAST(s.poule_id AS VARCHAR) AS ext_poule_id, CAST(s.joueur_id AS VARCHAR) AS individu_id, 'N' AS nom, 'P' AS prenom, trim(e.nom) || ' ' || CAST(e.id AS VARCHAR) AS equipe_libelle, CAST(s.match_count AS INTEGER) AS match_count, CAST(s.total_buts AS INTEGER) AS total_buts, CAST(0 AS INTEGER) AS total_arrets
+    FROM {stats_joueurs} s JOIN {equipes} e ON e.id = s.equipe_id
+    WHERE s.poule_id % 5 > 0 AND s.joueur_id % 23 > 0 AND s.total_buts IS NOT NULL AND s.poule_id IN (SELECT m.poule_id FROM {matchs} m JOIN {equipes} x ON x.id = m.equipe_ext_id)""")
+def player_statistics(t: T) -> DataFrame:
+    return pages.player_statistics(_poule_pages(t))["lignes"].drop("ext_equipe_id")
+
+
+@_reg.add("S13_player_stats", "SELECT 'PO' || CAST(s.poule_id AS VARCHAR) AS ext_poule_id, CASE WHEN p.id IS NOT NULL THEN CAST(s.equipe_id AS VARCHAR) END AS ext_equipe_id, s.joueur_id, s.total_buts FROM {stats_joueurs} s JOIN {equipes} e ON e.id = s.equipe_id LEFT JOIN (SELECT DISTINCT poule_id, id FROM (SELECT m.poule_id, m.equipe_dom_id AS id FROM {matchs} m JOIN {equipes} x ON x.id = m.equipe_ext_id UNION SELECT m.poule_id, m.equipe_ext_id FROM {matchs} m JOIN {equipes} x ON x.id = m.equipe_ext_id)) p ON p.poule_id = s.poule_id AND p.id = s.equipe_id WHERE s.poule_id % 5 > 0 AND s.poule_id IN (SELECT m.poule_id FROM {matchs} m JOIN {equipes} x ON x.id = m.equipe_ext_id)")
+def player_stats(t: T) -> DataFrame:
+    found = pages.table_rows(_poule_pages(t))
+    return found.select("ext_poule_id", "ext_equipe_id", F.get_json_object("row", "$.individuId").cast("long").alias("joueur_id"), F.get_json_object("row", "$.totalButs").cast("long").alias("total_buts"))
 
 
 # Sheets.
