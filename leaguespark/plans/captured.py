@@ -285,20 +285,59 @@ def _sheet_texts(t: T) -> DataFrame:
     return act.groupBy("fdm_code").agg(F.concat(head, F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("ordre", line.alias("line")))), lambda x: x["line"]), "\n")).alias("text"))
 
 
-@_reg.add("S15_sheet_header", "SELECT m.fdm_code, 'Coupe' AS competition, 'A' AS equipe_recevant, 'B' AS equipe_visiteur, strftime(m.date_heure, '%Y-%m-%d %H:%M') AS moment, CASE WHEN m.score_ext IS NOT NULL THEN CAST(m.score_dom AS INTEGER) END AS score_recevant, CAST(m.score_ext AS INTEGER) AS score_visiteur FROM {matchs} m WHERE m.fdm_code IS NOT NULL AND EXISTS (SELECT 1 FROM {actions} a WHERE a.match_id = m.id)")
+def _first_pages(t: T) -> DataFrame:
+    """The first pages of played and planned matches' sheets, in two layouts; some lack the round or the hall, planned ones the score."""
+    m = t("matchs").filter("fdm_code IS NOT NULL").join(t("salles").select(F.col("id").alias("salle_id"), F.col("nom").alias("salle"), "adresse"), "salle_id", "left")
+    m = m.join(t("poules").select(F.col("id").alias("poule_id"), "phase_id"), "poule_id").join(t("phases").select(F.col("id").alias("phase_id"), "competition_id"), "phase_id").join(t("competitions").select(F.col("id").alias("competition_id"), F.col("nom").alias("competition")), "competition_id")
+    text = lambda c: F.col(c).cast("string")
+    day, poule = F.date_format("date_heure", "dd/MM/yyyy HH:mm"), text("poule_id")
+    score = F.when(F.col("score_ext").isNotNull(), F.concat_ws(" ", F.lit(""), text("score_dom"), text("score_ext"))).otherwise("")
+    teams = F.concat(F.lit("EQUIPE "), text("equipe_dom_id"), F.lit(" / VISITEURS "), text("equipe_ext_id"), score)
+    organiser = F.when(F.col("poule_id") % 3 > 0, F.concat(F.lit("Organisateur LIGUE "), poule, F.lit(" (5600000) Code Renc "), F.col("fdm_code")))
+    old = F.array(
+        F.lit("Feuille de match"), organiser, F.concat(F.lit("Compétition 56-03  "), F.col("competition")), F.concat(F.lit(" 56-H POULE "), poule, F.lit(" Groupe M"), poule), F.concat(F.lit("DATE: samedi "), day, F.lit(" Journée / Date")),
+        F.concat(F.lit("Initiale J"), text("journee"), F.lit(" du 28/03/26 au 29/03/26")), F.concat(F.lit("SALLE: 5655 - "), F.col("salle")), F.when(F.col("salle").isNotNull(), F.col("adresse")), teams,
+    )
+    new = F.array(
+        organiser, F.concat(F.lit("Competition X1 "), F.col("competition")), F.concat(F.lit("56-H POULE "), poule), F.concat(F.lit("Groupe G"), poule),
+        F.concat(F.lit("Date samedi "), day, F.lit(" Journée"), F.coalesce(F.concat(F.lit(" J"), text("journee")), F.lit("")), F.coalesce(F.concat(F.lit(" Salle "), F.col("salle")), F.lit(""))), F.coalesce("adresse", F.lit("rue inconnue")), teams,
+    )
+    tail = F.array(
+        F.lit("Club Recevant"), F.lit("7 NOM prenom 5655011101499 A 3 1 5"), F.lit("Club Visiteur"), F.concat(F.lit("1 GARDE jo 56550111"), F.lpad(F.col("equipe_ext_id").cast("string"), 5, "0"), F.lit(" B 0 0 0 9")),
+        F.lit("DETAIL SCORE"), F.lit("REC VIS REC VIS"), F.when(F.col("score_ext").isNotNull(), F.concat_ws(" ", F.lit("10 "), F.lit("7"), text("score_dom"), text("score_ext"))), F.lit("Statut Match :JOUE"),
+        F.lit("Chronométreur LE  GOFF-ÉLIE enzo 5655011101546"), F.concat(F.lit("JUGE ARBITRE 1 ATAMNA emma 56550111"), F.lpad(poule, 5, "0")), F.lit("Juge Arbitre 1 ATAMNA other 5655011101999"), F.lit("Responsable de Salle TOUT Jean 1234567890 Speaker sans licence"),
+    )
+    lines = F.concat(F.when(F.col("id") % 4 == 0, new).otherwise(old), tail)
+    return m.select("fdm_code", F.array_join(F.filter(lines, lambda x: x.isNotNull()), "\n").alias("text"))
+
+
+_HEADERS = """
+    SELECT m.fdm_code, CASE WHEN m.poule_id % 3 > 0 THEN 'LIGUE ' || CAST(m.poule_id AS VARCHAR) END AS organisateur, CASE WHEN m.poule_id % 3 > 0 THEN '5600000' END AS organisateur_code, c.nom AS competition_libelle,
+           CASE WHEN m.id % 4 = 0 THEN 'G' ELSE 'M' END || CAST(m.poule_id AS VARCHAR) AS groupe, '56-H POULE ' || CAST(m.poule_id AS VARCHAR) AS poule_libelle, 'EQUIPE ' || CAST(m.equipe_dom_id AS VARCHAR) AS equipe_recevant_libelle, 'VISITEURS ' || CAST(m.equipe_ext_id AS VARCHAR) AS equipe_visiteur_libelle,
+           'samedi ' || strftime(m.date_heure, '%d/%m/%Y %H:%M') AS date_heure_str, 'J' || CAST(m.journee AS VARCHAR) || CASE WHEN m.id % 4 > 0 THEN ' du 28/03/26 au 29/03/26' ELSE '' END AS journee_libelle, s.nom AS salle_libelle, CASE WHEN s.nom IS NOT NULL THEN s.adresse END AS salle_adresse,
+           CAST(m.score_dom AS INTEGER) AS score_recevant, CAST(m.score_ext AS INTEGER) AS score_visiteur, CAST(10 AS INTEGER) AS score_mi_temps_recevant, CAST(7 AS INTEGER) AS score_mi_temps_visiteur, 'JOUE' AS statut_match, m.id AS match_id, m.poule_id, m.equipe_ext_id
+    FROM {matchs} m LEFT JOIN {salles} s ON s.id = m.salle_id JOIN {poules} po ON po.id = m.poule_id JOIN {phases} ph ON ph.id = po.phase_id JOIN {competitions} c ON c.id = ph.competition_id
+    WHERE m.fdm_code IS NOT NULL AND m.score_ext IS NOT NULL"""
+
+
+@_reg.add("S15_sheet_header", f"SELECT * EXCLUDE (match_id, poule_id, equipe_ext_id) FROM ({_HEADERS})")
 def sheet_header(t: T) -> DataFrame:
-    return sheets.header(_sheet_texts(t)).withColumn("moment", F.date_format("moment", "yyyy-MM-dd HH:mm"))
+    return sheets.header(_first_pages(t))
 
 
-@_reg.add("S16_sheet_officials", "SELECT m.fdm_code, r.role, r.nom FROM {matchs} m, (VALUES ('Arbitre', 'X Y'), ('Secretaire', 'Z')) r(role, nom) WHERE m.fdm_code IS NOT NULL AND EXISTS (SELECT 1 FROM {actions} a WHERE a.match_id = m.id)")
+@_reg.add("S16_sheet_officials", """
+    SELECT m.fdm_code, CAST(o.ordre AS INTEGER) AS ordre, o.role, 'neutre' AS cote, o.nom, o.prenom, CASE o.ordre WHEN 0 THEN '56550111' || lpad(CAST(m.poule_id AS VARCHAR), 5, '0') ELSE o.licence END AS numero_licence
+    FROM {matchs} m, (VALUES (0, 'juge_arbitre_1', 'ATAMNA', 'emma', ''), (1, 'responsable_salle', 'TOUT', 'Jean', '1234567890'), (2, 'chronometreur', 'LE  GOFF-ÉLIE', 'enzo', '5655011101546')) o(ordre, role, nom, prenom, licence)
+    WHERE m.fdm_code IS NOT NULL""")
 def sheet_officials(t: T) -> DataFrame:
-    return sheets.officials(_sheet_texts(t), ["Arbitre", "Secretaire"])
+    return sheets.officials(_first_pages(t))
 
 
 @_reg.add("S20_play_by_play", """
     SELECT m.fdm_code, CAST(row_number() OVER (PARTITION BY a.match_id ORDER BY a.ordre) - 1 AS INTEGER) AS ordre, CASE WHEN max(CASE WHEN a.ordre = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY a.match_id ORDER BY a.ordre) = 1 THEN 2 ELSE 1 END AS periode,
            CAST((a.ordre + 10) * 60 + a.ordre * 7 AS INTEGER) AS temps_seconds, CAST(a.ordre AS INTEGER) AS score_recevant, 1 AS score_visiteur, CASE a.type_action WHEN 'R' THEN 'but' WHEN 'A' THEN 'exclusion_2min' ELSE 'temps_mort_visiteur' END AS type_action,
-           CASE a.type_action WHEN 'R' THEN 'recevant' ELSE 'visiteur' END AS cote, CASE a.type_action WHEN 'R' THEN 7 END AS numero_maillot, CASE a.type_action WHEN 'R' THEN 'joueur' WHEN 'A' THEN 'officiel' END AS acteur_role
+           CASE a.type_action WHEN 'R' THEN 'recevant' ELSE 'visiteur' END AS cote, CASE a.type_action WHEN 'R' THEN 7 END AS numero_maillot, CASE a.type_action WHEN 'R' THEN 'joueur' WHEN 'A' THEN 'officiel' END AS acteur_role,
+           CASE a.type_action WHEN 'R' THEN 'But JR N°07 NOM prenom' WHEN 'A' THEN '2MN OV NOM prenom' ELSE 'Temps Mort d''Equipe Visiteur' END AS description_brute
     FROM {actions} a JOIN {matchs} m ON m.id = a.match_id WHERE m.fdm_code IS NOT NULL""")
 def play_by_play(t: T) -> DataFrame:
     return sheets.actions(_sheet_texts(t))
@@ -355,6 +394,16 @@ def player_lines(t: T) -> DataFrame:
     return sheets.players(_player_texts(t)).drop("at")
 
 
-@_reg.add("S21_sheet_documents", "SELECT m.fdm_code, 'Coupe' AS competition, CAST(2 AS INTEGER) AS officiels, CAST(count(*) AS INTEGER) AS actions FROM {matchs} m JOIN {actions} a ON a.match_id = m.id WHERE m.fdm_code IS NOT NULL GROUP BY m.fdm_code")
+@_reg.add("S21_sheet_documents", f"""
+    SELECT h.fdm_code, h.organisateur, h.groupe, h.equipe_recevant_libelle, h.date_heure_str, h.salle_libelle, h.score_visiteur, 'juge_arbitre_1 ATAMNA,responsable_salle TOUT,chronometreur LE  GOFF-ÉLIE' AS officiels,
+           '5655011101499 NOM prenom 7 3 1' AS recevant, '56550111' || lpad(CAST(h.equipe_ext_id AS VARCHAR), 5, '0') || ' GARDE jo 1 0 0 9' AS visiteur, coalesce(a.actions, '') AS actions
+    FROM ({_HEADERS}) h LEFT JOIN (
+      SELECT match_id, string_agg(CAST(ordre AS VARCHAR) || ':' || CASE type_action WHEN 'R' THEN 'but' WHEN 'A' THEN 'exclusion_2min' ELSE 'temps_mort_visiteur' END, ',' ORDER BY ordre) AS actions
+      FROM (SELECT match_id, type_action, row_number() OVER (PARTITION BY match_id ORDER BY ordre) AS ordre FROM {{actions}}) GROUP BY match_id) a ON a.match_id = h.match_id""")
 def sheet_documents(t: T) -> DataFrame:
-    return sheets.documents(_sheet_texts(t), ["Arbitre", "Secretaire"]).select("fdm_code", "competition", F.size("officiels").alias("officiels"), F.size("actions").alias("actions"))
+    first = _first_pages(t).select("fdm_code", F.lit(1).alias("page"), "text")
+    found = sheets.documents(first.unionByName(_sheet_texts(t).select("fdm_code", F.lit(2).alias("page"), "text")))
+    listed = lambda c, *fields: F.array_join(F.transform(c, lambda x: F.concat_ws(" ", *[x[f].cast("string") for f in fields])), ",").alias(c)
+    actions = F.array_join(F.transform("actions", lambda x: F.concat_ws(":", (x["ordre"] + 1).cast("string"), x["type_action"])), ",")
+    lineup = lambda side, *more: listed(f"composition_{side}", "numero_licence", "nom", "prenom", "numero_maillot", "buts", "sept_metres_reussis", *more).alias(side)
+    return found.select("fdm_code", "organisateur", "groupe", "equipe_recevant_libelle", "date_heure_str", "salle_libelle", "score_visiteur", listed("officiels", "role", "nom"), lineup("recevant"), lineup("visiteur", "arrets"), actions.alias("actions"))

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from leaguespark.functions import dates, text
+from leaguespark.functions import coerce, dates, text
 
 #: What an action's word means.
 ACTIONS = (
     ("(?i)^But$", "but"), ("(?i)^Tir$", "tir"), ("(?i)^Arr[eê]t$", "arret"), ("(?i)^Avertissement$", "avertissement"),
     (r"(?i)^2MN$|2\s*Minutes?", "exclusion_2min"), ("(?i)Disqualification", "disqualification"), ("(?i)Commotion", "protocole_commotion"),
 )
+#: Forms of a clock line and of who acted.
 _CLOCK = r"^(\d{1,2}:\d{2})\s+(\d+)\s*-\s*(\d+)(.*)$"
 _ACTOR = r"^(.+?)\s+(J|O)([RV])(?:\s+N°(\d+))?\s+(.+)$"
 
@@ -38,20 +41,99 @@ def lines(sheets: DataFrame) -> DataFrame:
     return rows.withColumn("line", F.trim(F.regexp_replace("line", r"^\s+|\s+$", ""))).filter("line <> ''")
 
 
+def _page_lines(page: Column) -> Column:
+    trimmed = F.transform(F.split(page, "\n"), lambda line: F.regexp_replace(line, rf"^{text.SPACES}|{text.SPACES}$", ""))
+    return F.filter(trimmed, lambda line: line != "")
+
+
+def _first(lines_: Column, test: Callable[[Column], Column]) -> Column:
+    return F.get(F.filter(lines_, test), F.lit(0))
+
+
+def _place(lines_: Column, test: Callable[[Column], Column]) -> Column:
+    """The number of the first line that fits, from 0; null without one."""
+    return F.nullif(F.array_position(F.transform(lines_, test), F.lit(True)), F.lit(0)).cast("int") - 1
+
+
+#: Forms of the header's lines.
+_ORGANISER = r"Organisateur\s+(.+?)\s*\((\d+)\)"
+_COMPETITION = r"^Comp[eé]tition\s+\S+\s+"
+_GROUP = r"^(.+?)\s+Groupe\s+(.+)$"
+_TEAMS = r"^(.+?)\s*/\s*(.+?)\s+(\d+)\s+(\d+)\s*$"
+_DATE_LINE = r"^DATE:|^Date\s+\S+\s+\d{2}/\d{2}/\d{4}"
+_DATE = r"^(?:DATE:|Date)\s*(.+?)(?:\s+Journ[eé]e|$)"
+_ROUND = r"J\d+\s+du\s+[\d/]+\s+au\s+[\d/]+"
+_HALL = r"SALLE:\s*(.+?)(?:\n|$)"
+_STATUS = r"Statut Match\s*:\s*(\w+)"
+_SCORES = r"^\d+\s+\d+(\s+\d+)*$"
+
+HEADER_FIELDS = (
+    "organisateur", "organisateur_code", "competition_libelle", "groupe", "poule_libelle", "equipe_recevant_libelle", "equipe_visiteur_libelle", "date_heure_str", "journee_libelle",
+    "salle_libelle", "salle_adresse", "score_recevant", "score_visiteur", "score_mi_temps_recevant", "score_mi_temps_visiteur", "statut_match",
+)
+
+
 def header(sheets: DataFrame) -> DataFrame:
-    """(fdm_code, competition, equipe_recevant, equipe_visiteur, moment, score_recevant, score_visiteur) by labelled lines; null where a label is missing."""
-    label = lambda name: text.first_group(F.col("text"), rf"(?m)^{name}\s*:\s*(.+?)\s*$")
-    score = lambda i: text.first_group(F.col("text"), r"(?m)^SCORE\s*:\s*(\d+)\s*-\s*(\d+)", i).try_cast("int")
-    return sheets.select(
-        "fdm_code", label("COMPETITION").alias("competition"), label("RECEVANT").alias("equipe_recevant"), label("VISITEUR").alias("equipe_visiteur"),
-        dates.parse_date_time(label("DATE"))["value"].alias("moment"), score(1).alias("score_recevant"), score(2).alias("score_visiteur"),
+    """(fdm_code, HEADER_FIELDS) from first pages (fdm_code, text); sheets without the line of teams and score are left out.
+
+    Lines are addressed by what they start with and by their neighbours.  Two layouts are read: one with ``DATE:`` and
+    ``SALLE:`` lines, one that has the date, the round and the hall in one line and the group in a line below the
+    poule's.  A field that a sheet lacks is null, a missing date the empty text.
+    """
+    rows = sheets.select("fdm_code", "text", _page_lines(F.col("text")).alias("l"))
+    l, page = F.col("l"), F.col("text")
+    organiser = _first(l, lambda x: x.startswith("Organisateur"))
+    competition = _first(l, lambda x: x.startswith("Compétition") | x.startswith("Competition"))
+    group = _first(l, lambda x: x.contains("Groupe") & ~x.contains("Code Renc") & ~x.startswith("Organisateur") & ~x.startswith("Compétition"))
+    rows = rows.select(
+        "fdm_code", "text", "l", organiser.alias("organiser"), competition.alias("competition"), group.alias("group"), _place(l, lambda x: x.rlike(r"^Groupe\s+\S+")).alias("group_at"),
+        _first(l, lambda x: x.contains(" / ") & x.rlike(r"\d+\s+\d+\s*$")).alias("teams"), _place(l, lambda x: x.rlike(_DATE_LINE)).alias("date_at"), _place(l, lambda x: x.contains("SALLE:")).alias("hall_at"),
+    ).withColumn("date", F.get("l", "date_at"))
+    found = lambda column, pattern, i=1: F.trim(text.first_group(F.col(column), pattern, i))
+    line = lambda at: F.get("l", F.col(at))
+    hall = F.trim(text.first_group(page, _HALL))
+    own_hall = found("date", r"\sSalle\s+(.+)$")
+    address = F.when(F.col("hall_at") + 1 < F.size("l"), F.get("l", F.col("hall_at") + 1)).when(own_hall.isNotNull(), F.get("l", F.col("date_at") + 1))
+    detail = F.when(page.contains("DETAIL"), F.substring(page, F.instr(page, "DETAIL"), F.length(page)))
+    scores = F.split(_first(_page_lines(detail), lambda x: x.rlike(_SCORES)), r"\s+")
+    rows = rows.filter(F.col("teams").rlike(_TEAMS))
+    return rows.select(
+        "fdm_code", found("organiser", _ORGANISER).alias("organisateur"), found("organiser", _ORGANISER, 2).alias("organisateur_code"), F.trim(F.regexp_replace("competition", _COMPETITION, "")).alias("competition_libelle"),
+        F.coalesce(found("group", _GROUP, 2), F.trim(F.regexp_replace(line("group_at"), r"^Groupe\s+", ""))).alias("groupe"), F.coalesce(found("group", _GROUP), F.when(F.col("group_at") > 0, F.get("l", F.col("group_at") - 1))).alias("poule_libelle"),
+        found("teams", _TEAMS).alias("equipe_recevant_libelle"), found("teams", _TEAMS, 2).alias("equipe_visiteur_libelle"), F.coalesce(found("date", _DATE), F.lit("")).alias("date_heure_str"),
+        F.coalesce(F.nullif(F.regexp_extract("text", f"({_ROUND})", 1), F.lit("")), text.first_group(F.col("date"), r"Journ[eé]e\s+(J\d+)")).alias("journee_libelle"),
+        F.coalesce(F.trim(F.regexp_replace(hall, r"^\d+\s*-\s*", "")), own_hall).alias("salle_libelle"), address.alias("salle_adresse"), found("teams", _TEAMS, 3).try_cast("int").alias("score_recevant"), found("teams", _TEAMS, 4).try_cast("int").alias("score_visiteur"),
+        F.get(scores, F.lit(0)).try_cast("int").alias("score_mi_temps_recevant"), F.get(scores, F.lit(1)).try_cast("int").alias("score_mi_temps_visiteur"), text.first_group(page, _STATUS).alias("statut_match"),
     )
 
 
-def officials(sheets: DataFrame, roles: list[str]) -> DataFrame:
-    """(fdm_code, role, nom): people behind a role's label, each (role, name) once."""
-    found = lines(sheets).select("fdm_code", *[F.regexp_extract("line", rf"^({'|'.join(roles)})\s*:\s*(.+)$", i).alias(n) for i, n in ((1, "role"), (2, "nom"))])
-    return found.filter("role <> ''").select("fdm_code", "role", text.clean(F.col("nom")).alias("nom")).distinct()
+#: Labels of the table's officials, in this order, and their roles.
+OFFICIALS = (
+    ("Juge Arbitre 1", "juge_arbitre_1"), ("Juge Arbitre 2", "juge_arbitre_2"), ("Juge Délégué", "juge_delegue"), ("Délégué Officiel", "delegue_officiel"), ("Tuteur de Table", "tuteur_table"),
+    ("Responsable de Salle", "responsable_salle"), ("Responsable de", "responsable_salle"), ("Resp. de salle", "responsable_salle"), ("Juge accomp.", "accompagnateur"), ("Chronométreur", "chronometreur"),
+    ("Secrétaire", "secretaire"), ("Accompagnateur", "accompagnateur"), ("Délégué", "delegue"), ("Speaker", "speaker"), ("Juge", "juge"),
+)
+#: A person behind a label: names in capitals, a first name, a licence.
+_PERSON = r"\s+((?:[A-ZÀ-ÖØ-Ý][A-ZÀ-ÖØ-Ý'\-]+\s+)+)([A-Za-zÀ-ÿ][a-zA-ZÀ-ÿ'\-]*)\s+(\d{10,13})"
+
+
+def _officials_behind(page: Column, label: str, role: str) -> Column:
+    pattern = f"(?iu:{label.replace('.', '[.]')}){_PERSON}"
+    part = lambda hit, i: F.regexp_replace(F.regexp_extract(hit, pattern, i), r"\s+$", "")
+    person = lambda hit: F.struct(F.lit(role).alias("role"), F.lit("neutre").alias("cote"), part(hit, 1).alias("nom"), part(hit, 2).alias("prenom"), part(hit, 3).alias("numero_licence"))
+    return F.transform(F.coalesce(F.regexp_extract_all(page, F.lit(pattern), F.lit(0)), F.array().cast("array<string>")), person)
+
+
+def officials_of(page: Column) -> Column:
+    """array<struct<role, cote, nom, prenom, numero_licence>> of a first page, by label and then place; each (role, nom) counts once, the first time."""
+    listed = F.concat(*[_officials_behind(page, label, role) for label, role in OFFICIALS])
+    new = lambda people, x, i: ~F.exists(F.slice(people, F.lit(1), i), lambda y: (y["role"] == x["role"]) & (y["nom"] == x["nom"]))
+    return coerce.let(listed, lambda people: F.filter(people, lambda x, i: new(people, x, i)))
+
+
+def officials(sheets: DataFrame) -> DataFrame:
+    """(fdm_code, ordre, role, cote, nom, prenom, numero_licence): the table's officials from first pages (fdm_code, text)."""
+    return sheets.select("fdm_code", F.posexplode(officials_of(F.col("text"))).alias("ordre", "o")).select("fdm_code", "ordre", "o.*")
 
 
 def nearest_columns(fragments: DataFrame, headers: DataFrame) -> DataFrame:
@@ -72,7 +154,7 @@ def _kind(word: Column) -> Column:
 
 
 def actions(sheets: DataFrame) -> DataFrame:
-    """(fdm_code, ordre, periode, temps_seconds, score_recevant, score_visiteur, type_action, cote, numero_maillot, acteur_role).
+    """(fdm_code, ordre, periode, temps_seconds, score_recevant, score_visiteur, type_action, cote, numero_maillot, acteur_role, description_brute).
 
     The period is carried on from its heading; where a clock line has no description, the next line is it.
     """
@@ -96,7 +178,7 @@ def actions(sheets: DataFrame) -> DataFrame:
     return rows.select(
         "fdm_code", order.alias("ordre"), "periode", dates.seconds(part(1)).alias("temps_seconds"), part(2).try_cast("int").alias("score_recevant"), part(3).try_cast("int").alias("score_visiteur"),
         kind.alias("type_action"), side.alias("cote"), F.when(~pause("Recevant") & ~pause("Visiteur"), actor(4).try_cast("int")).alias("numero_maillot"),
-        F.when(~pause("Recevant") & ~pause("Visiteur"), F.when(actor(2) == "J", "joueur").when(actor(2) == "O", "officiel")).alias("acteur_role"),
+        F.when(~pause("Recevant") & ~pause("Visiteur"), F.when(actor(2) == "J", "joueur").when(actor(2) == "O", "officiel")).alias("acteur_role"), F.col("d").alias("description_brute"),
     )
 
 
@@ -222,12 +304,19 @@ def players(sheets: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     return rows.select(*kept, keeper, *[value.alias(name) for name, value in found.items()])
 
 
-def documents(sheets: DataFrame, roles: list[str], cells: DataFrame | None = None) -> DataFrame:
-    """One nested row a sheet: the header's columns, officiels (sorted), joueurs and actions (both in order); sheets without teams are left out."""
-    people = officials(sheets, roles).groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("role", "nom"))).alias("officiels"))
-    named = players(sheets, cells)
-    lineups = named.groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("at", *[c for c in named.columns if c not in ("fdm_code", "at")]))).alias("joueurs"))
-    acts = actions(sheets)
-    played = acts.groupBy("fdm_code").agg(F.sort_array(F.collect_list(F.struct("ordre", *[c for c in acts.columns if c not in ("fdm_code", "ordre")]))).alias("actions"))
-    valid = header(sheets).filter("equipe_recevant IS NOT NULL AND equipe_visiteur IS NOT NULL")
-    return valid.join(people, "fdm_code", "left").join(lineups, "fdm_code", "left").join(played, "fdm_code", "left")
+def documents(pages: DataFrame, cells: DataFrame | None = None) -> DataFrame:
+    """One nested row a sheet from its pages (fdm_code, page, text): the header, officiels, both line-ups and actions, each in order.
+
+    The header, the officials and the line-ups stand on page 1, the actions on page 2.  Sheets without teams, or without
+    a date, are no documents.  A line-up without players and a sheet without actions have empty lists.
+    """
+    first, second = (pages.filter(F.col("page") == n).select("fdm_code", "text") for n in (1, 2))
+    valid = header(first).filter("date_heure_str <> ''").join(first.select("fdm_code", officials_of(F.col("text")).alias("officiels")), "fdm_code")
+    named = players(first, cells)
+    fields = [c for c in named.columns if c not in ("fdm_code", "at", "section")]
+    side = lambda name: F.transform(F.array_sort(F.collect_list(F.when(F.col("section") == name, F.struct("at", F.struct(*fields).alias("p"))))), lambda x: x["p"]).alias(f"composition_{name}")
+    lineups = named.groupBy("fdm_code").agg(side("recevant"), side("visiteur"))
+    acts = actions(second)
+    played = acts.groupBy("fdm_code").agg(F.array_sort(F.collect_list(F.struct(*[c for c in acts.columns if c != "fdm_code"]))).alias("actions"))
+    found = valid.join(lineups, "fdm_code", "left").join(played, "fdm_code", "left")
+    return found.withColumns({c: F.coalesce(c, F.array().cast(found.schema[c].dataType)) for c in ("composition_recevant", "composition_visiteur", "actions")})
