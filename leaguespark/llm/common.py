@@ -54,6 +54,16 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
+def named(column: str) -> Column:
+    """A column by its name as it stands, dots and all."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
+def packed(docs: DataFrame, **more: Column) -> DataFrame:
+    """All columns as one struct ``row``, and more columns beside it: names inside the struct clash with none outside; ``row.*`` gives them back."""
+    return docs.select(F.struct(*map(named, docs.columns)).alias("row"), *[c.alias(name) for name, c in more.items()])
+
+
 def release(shared: Broadcast) -> None:
     """Drop the value from memory; it is read again from the broadcast's local file when asked for."""
     vars(shared).pop("_value", None)

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import gathered, release, small_batches, stash
+from leaguespark.llm.common import gathered, packed, release, small_batches, stash
 
 WINDOW = 10
 BLOCK_BYTES = 32 << 20
@@ -201,4 +201,5 @@ def find_hits(docs: DataFrame, items: DataFrame, size: int = WINDOW, block_bytes
 
 def decontaminate(docs: DataFrame, items: DataFrame, size: int = WINDOW) -> DataFrame:
     """The documents in which no window of any item occurs, unchanged."""
-    return find_hits(docs, items, size).filter(F.size("__hits") == 0).select(*docs.columns)
+    held = packed(docs, text=F.col("text").cast("string"))
+    return find_hits(held, items, size).filter(F.size("__hits") == 0).select("row.*")

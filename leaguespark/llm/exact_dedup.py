@@ -29,7 +29,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import SPACE, stash
+from leaguespark.llm.common import SPACE, packed, stash
 
 SALTS = 8
 HOT_GROUPS = 10_000
@@ -96,18 +96,18 @@ def exact_groups(docs: DataFrame, digest: Callable[[Column], Column] = sha256_di
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns: one for each different normalised text.
+    """The rows that stay, with all their columns, whatever their names: one for each different normalised text.
 
     The decisions are narrow rows; the documents are read once more and pass by
     them without a shuffle, as long as at most ``BROADCAST_LOSERS`` rows go.
     """
     decided = stash(exact_groups(docs).select("doc_id", "kept", "digest"))
-    losers = decided.filter("NOT kept").select(F.col("doc_id").alias("__lost"), F.col("digest").alias("__lost_digest")).distinct()
-    repeated = decided.filter("kept").groupBy(F.col("doc_id").alias("__twice"), F.col("digest").alias("__twice_digest")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+    losers = decided.filter("NOT kept").select(F.col("doc_id").alias("lost"), F.col("digest").alias("lost_digest")).distinct()
+    repeated = decided.filter("kept").groupBy(F.col("doc_id").alias("twice"), F.col("digest").alias("twice_digest")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     few = losers.limit(BROADCAST_LOSERS + 1).count() <= BROADCAST_LOSERS
-    rows = docs.withColumn("__id", F.col("doc_id").cast("long")).withColumn("__digest", sha256_digest(normalised(F.col("text"))))
-    kept = rows.join(F.broadcast(losers) if few else losers, F.col("__id").eqNullSafe(F.col("__lost")) & (F.col("__digest") == F.col("__lost_digest")), "left_anti")
+    rows = packed(docs, id=F.col("doc_id").cast("long"), digest=sha256_digest(normalised(F.col("text"))))
+    kept = rows.join(F.broadcast(losers) if few else losers, F.col("id").eqNullSafe(F.col("lost")) & (F.col("digest") == F.col("lost_digest")), "left_anti")
     if not repeated.isEmpty():  # rows that repeat both id and text
-        again = F.col("__id").eqNullSafe(F.col("__twice")) & (F.col("__digest") == F.col("__twice_digest"))
-        kept = kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates(["__id", "__digest"]))
-    return kept.drop("__id", "__digest")
+        again = F.col("id").eqNullSafe(F.col("twice")) & (F.col("digest") == F.col("twice_digest"))
+        kept = kept.join(repeated, again, "left_anti").unionByName(kept.join(repeated, again, "left_semi").dropDuplicates(["id", "digest"]))
+    return kept.select("row.*")

@@ -42,7 +42,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import gathered, release, small_batches, stash
+from leaguespark.llm.common import gathered, packed, release, small_batches, stash
 
 ORDER = 4
 #: N-grams times languages of one part of the models.
@@ -308,10 +308,11 @@ def fit(labelled: DataFrame, order: int = ORDER) -> LanguageModels:
 
 
 def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
-    """The documents' columns, and __lang, __score, __entropy and __rejected."""
+    """The documents' columns, and __lang, __score, __entropy and __rejected, in place of columns of these names."""
     spark = docs.sparkSession
     small_batches(spark)
     new = {"__lang": "string", "__score": "double", "__entropy": "double", "__rejected": "boolean"}
+    docs = docs.drop(*new)
     names = docs.columns
     schema = docs.limit(0).withColumns({k: F.lit(None).cast(t) for k, t in new.items()}).schema
 
@@ -328,5 +329,6 @@ def identify(docs: DataFrame, models: LanguageModels) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """The documents that the models do not reject, unchanged."""
-    return identify(docs, fit(labelled)).filter("NOT __rejected").select(*docs.columns)
+    """The documents that the models do not reject, unchanged, whatever their columns are named."""
+    held = packed(docs, text=F.col("text").cast("string"))
+    return identify(held, fit(labelled)).filter("NOT __rejected").select("row.*")

@@ -48,7 +48,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from leaguespark.llm.common import small_batches, stash
+from leaguespark.llm.common import packed, small_batches, stash
 from leaguespark.llm.components import connected
 
 WORDS = 5
@@ -415,11 +415,11 @@ def keep_representatives(docs: DataFrame) -> DataFrame:
     rows = stash(_placed(docs).filter("component IS NOT NULL").select("doc_id", "k1", "k2", "component"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")).alias("first")
     stays = stash(rows.groupBy("component").agg(first).select("first.k1", "first.k2"))
-    gone = stash(rows.join(stays, ["k1", "k2"], "left_anti").select(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).distinct())
-    repeated = stash(rows.join(stays, ["k1", "k2"], "left_semi").groupBy(F.col("k1").alias("__k1"), F.col("k2").alias("__k2")).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n"))
-    key = ["__k1", "__k2"]
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text").cast("string")
-    kept = docs.withColumns({"__k1": _key(doc_id, text)[0], "__k2": _key(doc_id, text)[1]}).join(gone, key, "left_anti")
+    key = ["k1", "k2"]
+    gone = stash(rows.join(stays, key, "left_anti").select(*key).distinct())
+    repeated = stash(rows.join(stays, key, "left_semi").groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
+    k1, k2 = _key(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    kept = packed(docs, k1=k1, k2=k2).join(gone, key, "left_anti")
     if not repeated.isEmpty():  # rows that repeat both id and text
         kept = kept.join(repeated, key, "left_anti").unionByName(kept.join(repeated, key, "left_semi").dropDuplicates(key))
-    return kept.select(*docs.columns)
+    return kept.select("row.*")

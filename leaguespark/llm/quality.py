@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import small_batches
+from leaguespark.llm.common import named, small_batches
 
 SHRINK = 0.02
 RIDGE = 0.02
@@ -68,18 +68,18 @@ def statistics_of(text: str | None) -> list[float]:
 
 
 def with_statistics(docs: DataFrame) -> DataFrame:
-    """The documents' columns but the text, and one column for each statistic, named ``__q_*``."""
+    """The documents' columns but the text, and one column for each statistic, named ``__q_*``, in place of columns of these names."""
     small_batches(docs.sparkSession)
-    names = [c for c in docs.columns if c != "text"]
     new = [f"__q_{f}" for f in FEATURES]
-    schema = docs.limit(0).select(*names, *[F.lit(None).cast("double").alias(c) for c in new]).schema
+    names = [c for c in docs.columns if c not in ("text", *new)]
+    schema = docs.limit(0).select(*map(named, names), *[F.lit(None).cast("double").alias(c) for c in new]).schema
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.array([statistics_of(t.as_py()) for t in batch.column(len(names))]).reshape(-1, len(new))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *[pa.array(rows[:, i]) for i in range(len(new))]], [*names, *new])
 
-    return docs.select(*names, "text").mapInArrow(measure, schema)
+    return docs.select(*map(named, names), "text").mapInArrow(measure, schema)
 
 
 class QuadraticDiscriminant:
@@ -132,15 +132,15 @@ def fit(measured: DataFrame) -> QuadraticDiscriminant:
 
 
 def score(measured: DataFrame, model: QuadraticDiscriminant) -> DataFrame:
-    """The columns besides the statistics, and __score."""
+    """The columns besides the statistics, and __score, in place of a column of that name."""
     shared = measured.sparkSession.sparkContext.broadcast(model)
     new = [f"__q_{f}" for f in FEATURES]
-    names = [c for c in measured.columns if c not in new]
+    names = [c for c in measured.columns if c not in (*new, "__score")]
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[len(names) :]])
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(shared.value.scores(rows))], [*names, "__score"])
 
-    schema = measured.limit(0).select(*names, F.lit(None).cast("double").alias("__score")).schema
-    return measured.select(*names, *new).mapInArrow(apply, schema)
+    schema = measured.limit(0).select(*map(named, names), F.lit(None).cast("double").alias("__score")).schema
+    return measured.select(*map(named, names), *new).mapInArrow(apply, schema)

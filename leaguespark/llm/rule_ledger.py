@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import small_batches
+from leaguespark.llm.common import named, small_batches
 
 MEASURES = ("words", "word_chars", "symbols", "lines", "dup_lines", "repeat_words", "capitals", "shouts")
 #: Words of a window that must not be found twice.
@@ -120,7 +120,7 @@ def measure(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     new = [f"__{m}" for m in MEASURES]
     names = [c for c in docs.columns if c not in (*new, "text", "__failed")]
-    schema = docs.select(*names).schema
+    schema = docs.select(*map(named, names)).schema
     for c in new:
         schema = schema.add(c, "long")
 
@@ -130,7 +130,7 @@ def measure(docs: DataFrame) -> DataFrame:
             columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(new))]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *columns], names=[*names, *new])
 
-    return docs.select(*names, F.col("text").cast("string")).mapInArrow(apply, schema)
+    return docs.select(*map(named, names), F.col("text").cast("string")).mapInArrow(apply, schema)
 
 
 def ledger(docs: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from leaguespark.llm.common import small_batches
+from leaguespark.llm.common import named, small_batches
 
 MIN_WORDS = 12
 #: Words of a block that make its key, at most.
@@ -200,7 +200,7 @@ def detect(docs: DataFrame) -> DataFrame:
     small_batches(docs.sparkSession)
     names = [c for c in docs.columns if c not in ("__runs", "__collapsed")]
     place = names.index("text")
-    schema = docs.select(*names, F.lit(None).cast(RUNS).alias("__runs"), F.lit(None).cast("string").alias("__collapsed")).schema
+    schema = docs.select(*map(named, names), F.lit(None).cast(RUNS).alias("__runs"), F.lit(None).cast("string").alias("__collapsed")).schema
     kind = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,4 +214,4 @@ def detect(docs: DataFrame) -> DataFrame:
             columns = [*batch.columns, pa.array(found, kind), pa.array(texts, pa.binary()).cast(pa.string())]
             yield pa.RecordBatch.from_arrays(columns, names=[*names, "__runs", "__collapsed"])
 
-    return docs.select(*names).mapInArrow(apply, schema)
+    return docs.select(*map(named, names)).mapInArrow(apply, schema)

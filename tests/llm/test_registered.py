@@ -212,3 +212,51 @@ def test_pipeline_with_odd_tables(spark, tmp_path, prose):
     kept = {r.doc_id for r in found.collect()}
     assert kept <= set(range(30)) and set(found.columns) == {"doc_id", "text", "lang", "source", "n_chars", "copy"}
     assert corpus_pipeline.run(spark, str(tmp_path / "none")).count() == 0
+
+
+CLASHES = ["__lang", "__score", "__entropy", "__rejected", "__n_words", "__hits", "__item_ids", "__id", "__digest", "__k1", "__k2", "__n", "__source", "__rate", "__q_chars", "row", "key", "source_size", "target", "number", "n", "k1", "lost", "digest", "a.b"]
+
+
+def test_clashing_columns_come_back_unchanged(spark, tmp_path, prose):
+    """Every stage keeps columns that are named like its own, with their values."""
+    import corpus_pipeline
+
+    rows = [(i, t, "aa", "s", *[f"{c}{i}" for c in CLASHES]) for i, t in enumerate(prose(12, 40, seed=3))]
+    rows += [rows[0], (20, rows[1][1], "aa", "s", *[f"{c}20" for c in CLASHES]), (21, rows[2][1] + " w", "aa", "s", *[f"{c}21" for c in CLASHES])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, " + ", ".join(f"`{c}` string" for c in CLASHES))
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, rows[3][1])], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for name, stage in corpus_pipeline.STAGES:
+        found = stage(spark, docs, str(tmp_path))
+        assert [c for c in found.columns if c != "copy"] == docs.columns, name
+        for r in found.collect():
+            assert [r[c] for c in CLASHES] == [f"{c}{r.doc_id}" for c in CLASHES], name
+    assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()} <= {0, 1, 2, *range(4, 12)}
+    measured = quality.with_statistics(docs)
+    assert measured.columns.count("__q_chars") == 1 and quality.score(measured, quality.fit(measured.withColumn("label", F.lit(1)))).columns.count("__score") == 1
+    from leaguespark.llm import langid
+
+    assert langid.identify(docs, langid.fit(docs)).columns.count("__lang") == 1
+
+
+def test_op6_meets_targets_without_ids(spark, tmp_path):
+    """Rows that are equal, or differ in their texts only, don't share one decision."""
+    from leaguespark.llm import mixing
+
+    texts = ["w w w"] * 1000 + [f"x{i} w w" for i in range(1000)] + ["a b"] * 500
+    rows = [(None, t, "s1" if i < 2000 else "s2", str(i)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, at string").repartition(7)
+    plan = mixing.mix_plan(docs).collect()
+    assert len(plan) == len(rows)
+    taken, target = {}, {}
+    for r in plan:
+        taken[r.source] = taken.get(r.source, 0) + r.size * r.copies
+        target[r.source] = r.target
+        assert r.copies <= 2
+    assert all(abs(taken[s] - target[s]) <= 0.05 * target[s] for s in target)
+    # Whole rows: each as often as the plan says, equal ones one more or less.
+    mixed = mixing.mix_documents(docs)
+    assert mixed.columns == [*docs.columns, "copy"]
+    counts = {r["at"]: r["count"] for r in mixed.groupBy("at").count().collect()}
+    equal = [counts.get(str(i), 0) for i in range(1000)]
+    assert max(equal) - min(equal) <= 1 and sum(counts.values()) == sum(r.copies for r in plan)
