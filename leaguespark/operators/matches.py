@@ -140,7 +140,12 @@ def deliveries(events: DataFrame, subscriptions: DataFrame, clubs_of_team: DataF
     return everywhere.unionByName(by_club).distinct()
 
 
-def next_delivery(status: Column, attempts: Column, ok: Column, ladder: tuple[int, ...] = (60, 300, 1800, 7200, 43200)) -> Column:
+#: Seconds before the second and each later attempt of a delivery, and failures in a row that switch a subscription off.
+RETRIES = (60, 300, 1800, 7200, 21600, 86400)
+MAX_FAILURES = 30
+
+
+def next_delivery(status: Column, attempts: Column, ok: Column, ladder: tuple[int, ...] = RETRIES) -> Column:
     """(status, wait in seconds) of a delivery after an attempt: done, retried by a ladder, at last failed."""
     waits = F.array(*[F.lit(s) for s in ladder])
     retried = (status == "pending") & ~ok & (attempts < len(ladder))

@@ -38,6 +38,19 @@ def append_new(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFr
     return batch.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
 
 
+def append_rows(existing: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The rows of a batch with ``outcome``: inserted for the first row of a key that is not there yet, else duplicate; null keys are equal.
+
+    Whether a key is the first of the batch is found by an aggregate, so a key with very many rows is one row a task.
+    """
+    first = batch.groupBy(*[F.col(k).alias(f"__{k}") for k in keys]).agg(F.min(F.struct(*order)).alias("__first"))
+    there = existing.select(*[F.col(k).alias(f"__e_{k}") for k in keys]).distinct().withColumn("__there", F.lit(True))
+    same = lambda left, right: [F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}")) for k in keys]
+    news = first.join(there, same("__", "__e_"), "left").select(*[f"__{k}" for k in keys], F.when(F.col("__there").isNull(), F.col("__first")).alias("__first"))
+    placed = batch.join(news, same("", "__"))
+    return placed.withColumn("outcome", F.when(F.struct(*order).eqNullSafe(F.col("__first")), "inserted").otherwise("duplicate")).select(*batch.columns, "outcome")
+
+
 def append_outcome(existing: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
     """(inserted, duplicates) of such an append."""
     total = batch.agg(F.count(F.lit(1)).alias("n"))

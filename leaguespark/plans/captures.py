@@ -52,6 +52,17 @@ def append_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.append_outcome(docs.filter("doc_id % 2 = 0"), docs.filter("NOT coalesce(doc_id % 2 = 0, false)"), ["lang", "hash"])
 
 
+@_reg.add("K1_append_rows", """
+    SELECT doc_id, lang, CASE WHEN NOT EXISTS (SELECT 1 FROM documents o WHERE o.doc_id % 2 = 0 AND o.lang IS NOT DISTINCT FROM d.lang AND coalesce(o.text, '') = coalesce(d.text, ''))
+           AND row_number() OVER (PARTITION BY lang, coalesce(text, '') ORDER BY doc_id) = 1 THEN 'inserted' ELSE 'duplicate' END AS outcome
+    FROM documents d WHERE NOT coalesce(doc_id % 2 = 0, false)
+""")
+def append_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What becomes of each row of the batch."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("hash"))
+    return snapshot.append_rows(docs.filter("doc_id % 2 = 0"), docs.filter("NOT coalesce(doc_id % 2 = 0, false)"), ["lang", "hash"], ["doc_id"]).drop("hash")
+
+
 @_reg.add("K3_merge_outcomes", """
     WITH old AS (SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 2 = 0),
     new AS (SELECT o_orderkey, CASE WHEN o_orderkey % 6 = 0 THEN 'X' ELSE o_orderstatus END AS status, CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderpriority END AS priority FROM orders),

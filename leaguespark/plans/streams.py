@@ -45,6 +45,15 @@ def idempotent_ingestion(stream: DataFrame, folder: str) -> DataFrame:
     return incremental.ingest(rows, ["lang", "hash"], folder)
 
 
+@_stream("T4_late_events", """
+    WITH e AS (SELECT event_id, user_id, event_type, CAST(ts AS DATE) AS jour FROM events)
+    SELECT user_id, event_type, jour FROM e GROUP BY ALL""", "events")
+def late_events(stream: DataFrame, folder: str) -> DataFrame:
+    """Each user's kinds of events by day, once; the state forgets days that are 60 days old."""
+    rows = stream.select("user_id", "event_type", F.col("ts").cast("date").alias("jour")).withColumn("quand", F.col("jour").cast("timestamp"))
+    return incremental.ingest(rows, ["user_id", "event_type", "jour"], folder, "quand").drop("quand")
+
+
 @_stream("T11_progress", "SELECT count(*) AS lues, count(*) FILTER (WHERE event_type = 'error') AS erreurs, max(event_id) AS derniere FROM events", "events")
 def progress(stream: DataFrame, folder: str) -> DataFrame:
     """Counters of a load, taken while it runs, as a ledger row."""
@@ -91,13 +100,13 @@ def cooldowns(t: T) -> DataFrame:
     return limits.cooldowns(rows, "domaine", "requested_at", F.col("status") != 200, 60, 300).select("id", "blocks", "pause_until")
 
 
-_QUEUE = f"SELECT id, coalesce(key_prefix, 'tous') AS subscription_id, CASE WHEN id % 9 = 0 THEN 'delivered' ELSE 'pending' END AS status, CAST(id % 6 AS INTEGER) AS attempts, requested_at AS next_attempt_at, status AS http, 17 AS failures FROM {{api_logs}}"
+_QUEUE = f"SELECT id, coalesce(key_prefix, 'tous') AS subscription_id, CASE WHEN id % 9 = 0 THEN 'delivered' ELSE 'pending' END AS status, CAST(id % 7 AS INTEGER) AS attempts, requested_at AS next_attempt_at, status AS http, 27 AS failures FROM {{api_logs}}"
 _AT = "TIMESTAMP '2024-01-20 00:00:00'"
 
 
 @_reg.add("T3_delivery_round", f"""
-    SELECT id, subscription_id, CASE WHEN NOT due THEN status WHEN http BETWEEN 200 AND 299 THEN 'delivered' WHEN attempts < 5 THEN 'pending' ELSE 'failed' END AS status, attempts + CASE WHEN due THEN 1 ELSE 0 END AS attempts,
-           CASE WHEN due AND NOT http BETWEEN 200 AND 299 AND attempts < 5 THEN {_AT} + to_seconds(CAST([60, 300, 1800, 7200, 43200][attempts + 1] AS INTEGER)) ELSE next_attempt_at END AS next_attempt_at
+    SELECT id, subscription_id, CASE WHEN NOT due THEN status WHEN http BETWEEN 200 AND 299 THEN 'delivered' WHEN attempts < 6 THEN 'pending' ELSE 'failed' END AS status, attempts + CASE WHEN due THEN 1 ELSE 0 END AS attempts,
+           CASE WHEN due AND NOT http BETWEEN 200 AND 299 AND attempts < 6 THEN {_AT} + to_seconds(CAST([60, 300, 1800, 7200, 21600, 86400][attempts + 1] AS INTEGER)) ELSE next_attempt_at END AS next_attempt_at
     FROM (SELECT *, status = 'pending' AND next_attempt_at <= {_AT} AS due FROM ({_QUEUE}))""")
 def delivery_round(t: T) -> DataFrame:
     return _round(t)[0]
@@ -108,7 +117,7 @@ def _round(t: T) -> tuple[DataFrame, DataFrame]:
     return incremental.attempt(rows.drop("http"), rows.select("id", "http"), F.lit("2024-01-20 00:00:00").cast("timestamp_ntz"))
 
 
-@_reg.add("T3_subscriptions", f"SELECT subscription_id, CASE WHEN ok > 0 THEN 0 ELSE 17 + ko END AS failures, CASE WHEN ok > 0 THEN 0 ELSE 17 + ko END < 20 AS active FROM (SELECT subscription_id, count(*) FILTER (WHERE due AND http BETWEEN 200 AND 299) AS ok, count(*) FILTER (WHERE due AND NOT http BETWEEN 200 AND 299) AS ko FROM (SELECT *, status = 'pending' AND next_attempt_at <= {_AT} AS due FROM ({_QUEUE})) GROUP BY subscription_id)")
+@_reg.add("T3_subscriptions", f"SELECT subscription_id, CASE WHEN ok > 0 THEN 0 ELSE 27 + ko END AS failures, CASE WHEN ok > 0 THEN 0 ELSE 27 + ko END < 30 AS active FROM (SELECT subscription_id, count(*) FILTER (WHERE due AND http BETWEEN 200 AND 299) AS ok, count(*) FILTER (WHERE due AND NOT http BETWEEN 200 AND 299) AS ko FROM (SELECT *, status = 'pending' AND next_attempt_at <= {_AT} AS due FROM ({_QUEUE})) GROUP BY subscription_id)")
 def subscriptions(t: T) -> DataFrame:
     return _round(t)[1]
 

@@ -142,6 +142,30 @@ class VersionedTable:
                 continue
         raise Conflict(f"{TRIES} commits to {self.path} came first")
 
+    def change(self, choose: Callable[[DataFrame], DataFrame], token: str | None = None) -> int | None:
+        """Rows that ``choose`` picks from the newest version take the values it gives them; picked anew if another commit came first.
+
+        ``choose`` gives whole rows under keys of the table, the same ones whenever it is asked; None if there are none.
+        """
+        for _ in range(TRIES):
+            done = self.committed(token)
+            if done is not None:
+                return done
+            before = self.newest()
+            if before is None:
+                raise ValueError(f"{self.path} has no version yet")
+            chosen = choose(self._rows(before))
+            touched = sorted(r[0] for r in chosen.select(self.bucket().alias("b")).distinct().collect())
+            if not touched:
+                return None
+            kept = {b: folder for b, folder in before["buckets"].items() if int(b) not in touched}
+            old = self._rows(before, touched)
+            try:
+                return self._commit(old.join(chosen.select(*self.keys), self.keys, "left_anti").select(*old.columns).unionByName(chosen.select(*old.columns)), before, kept, token)
+            except Conflict:
+                continue
+        raise Conflict(f"{TRIES} commits to {self.path} came first")
+
     def merge(self, new: DataFrame, token: str | None = None, **how) -> int:
         """An upsert by ``merge.merge``: overwrite, coalesce, insert_only, increments; columns that the merge doesn't name stay as they are."""
         named = {c for group in ("overwrite", "coalesce", "insert_only", "increments") for c in how.get(group) or []}
@@ -154,7 +178,7 @@ class VersionedTable:
         return self.update(new, combine, token)
 
     def append(self, new: DataFrame, token: str | None = None) -> int:
-        """New keys only, each once; rows whose keys are there already change nothing."""
+        """New keys only, each once; rows whose keys are there already change nothing.  A null key is like no other row's."""
         return self.update(new, lambda old, rows: merging.insert_ignore(old, rows.select(*old.columns), self.keys), token)
 
     def delete(self, gone: DataFrame, token: str | None = None) -> int:

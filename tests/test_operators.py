@@ -130,7 +130,7 @@ def test_rate_limit_of_batch_and_stream(spark, tmp_path):
 
 
 def test_delivery_ladder(spark):
-    rows = spark.createDataFrame([(1, "pending", 0, True), (2, "pending", 0, False), (3, "pending", 5, False), (4, "delivered", 1, False)], "id int, status string, attempts int, ok boolean")
+    rows = spark.createDataFrame([(1, "pending", 0, True), (2, "pending", 0, False), (3, "pending", 6, False), (4, "delivered", 1, False)], "id int, status string, attempts int, ok boolean")
     step = matches.next_delivery(F.col("status"), F.col("attempts"), F.col("ok"))
     assert [tuple(r.s) for r in rows.select("id", step.alias("s")).orderBy("id").collect()] == [("delivered", None), ("pending", 60), ("failed", None), ("delivered", None)]
 
