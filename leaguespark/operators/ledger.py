@@ -124,9 +124,15 @@ class RunLog:
         self.spark, self.path = spark, path
 
     def append(self, entries: list[tuple] | DataFrame) -> None:
-        rows = entries if isinstance(entries, DataFrame) else self.spark.createDataFrame(entries, ENTRY).coalesce(1)
+        rows = entries if isinstance(entries, DataFrame) else self._rows(entries)
         rows.write.mode("append").parquet(self.path)
 
+    def _rows(self, entries: list[tuple]) -> DataFrame:
+        """A few entries as literals, which costs no Python worker."""
+        kinds = dict(part.split(" ") for part in ENTRY.split(", "))
+        row = lambda entry: F.struct(*[F.lit(v).cast(kind).alias(name) for v, (name, kind) in zip(entry, kinds.items(), strict=True)])
+        return self.spark.range(0, 1, 1, 1).select(F.inline(F.array(*map(row, entries))))
+
     def entries(self) -> DataFrame:
         return self.spark.read.schema(ENTRY).parquet(self.path)
 

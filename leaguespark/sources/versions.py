@@ -57,7 +57,11 @@ class VersionedTable:
         out.close()
 
     def _manifest(self, version: int) -> dict:
-        return json.loads(self.spark.read.text(f"{self.path}/versions/{version:012d}.json", wholetext=True).first()[0])
+        found = self._store().open(self._path(f"versions/{version:012d}.json"))
+        try:
+            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(found, "UTF-8"))
+        finally:
+            found.close()
 
     def versions(self) -> list[int]:
         return [int(n.split(".")[0]) for n in self._names("versions") if n.endswith(".json") and n[0] != "."]
