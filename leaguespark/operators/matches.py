@@ -55,6 +55,43 @@ def match_filter(**wanted) -> Column:
     return cond
 
 
+def of_teams(matchs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The matches of some teams (t_id) in either role, each once: two joins on equality, the second over what the first left."""
+    home = matchs.join(ids, F.col("equipe_dom_id") == F.col("t_id"), "left_semi")
+    away = matchs.join(ids, F.col("equipe_dom_id") == F.col("t_id"), "left_anti").join(ids, F.col("equipe_ext_id") == F.col("t_id"), "left_semi")
+    return home.unionByName(away)
+
+
+def narrowed(tables: dict[str, DataFrame], **wanted) -> dict[str, DataFrame]:
+    """The star's tables with those of ``match_filter``'s filters that can be applied before anything is joined: all but the hall.
+
+    A team or a club becomes the ids of its teams, by which matches are filtered in either role.
+    """
+    out, m = dict(tables), tables["matchs"]
+    for name in ("journee", "statut"):
+        if wanted.get(name) is not None:
+            m = m.filter(F.col(name) == wanted[name])
+    if wanted.get("date_from") is not None:
+        m = m.filter(F.col("date_heure") >= F.lit(wanted["date_from"]))
+    if wanted.get("date_to") is not None:
+        m = m.filter(F.col("date_heure") <= F.lit(wanted["date_to"]))
+    for name, table, column in (("poule", "poules", "id_ffhb"), ("competition", "competitions", "id_ffhb"), ("saison", "competitions", "saison_code")):
+        if wanted.get(name) is not None:
+            out[table] = out[table].filter(F.col(column) == wanted[name])
+    teams = tables["equipes"]
+    if wanted.get("equipe") is not None:
+        m = of_teams(m, teams.filter(F.col("id_ffhb") == wanted["equipe"]).select(F.col("id").alias("t_id")))
+    if wanted.get("club") is not None:
+        clubs = tables["clubs"].filter(F.col("id_ffhb") == wanted["club"]).select(F.col("id_ffhb").alias("c_id"))
+        m = of_teams(m, teams.join(clubs, F.coalesce("ext_structure_id", "porteur_ext_structure_id") == F.col("c_id"), "left_semi").select(F.col("id").alias("t_id")))
+    return out | {"matchs": m}
+
+
+def listed(tables: dict[str, DataFrame], **wanted) -> DataFrame:
+    """The star under filters, which reach the tables before the joins."""
+    return star(narrowed(tables, **wanted)).filter(match_filter(salle=wanted.get("salle")))
+
+
 def match_rows(joined: DataFrame) -> DataFrame:
     return joined.select(
         F.col("m.id").alias("id"), F.col("m.date_heure"), F.col("m.journee"), F.col("m.statut"), F.col("m.score_dom"), F.col("m.score_ext"),

@@ -190,18 +190,22 @@ def _star(t: T) -> DataFrame:
     return matches.star({name: t(name) for name in _RELATIONS})
 
 
+def _listed(t: T, **wanted) -> DataFrame:
+    return matches.listed({name: t(name) for name in _RELATIONS}, **wanted)
+
+
 _LIST = ["id", "date_heure", "equipe_dom", "equipe_ext", "club_dom", "club_ext", "competition", "salle_nom", "salle_approx"]
 
 
 @_reg.add("D9_match_list", f"SELECT m.id, m.date_heure, ed.nom AS equipe_dom, ee.nom AS equipe_ext, cd.nom AS club_dom, ce.nom AS club_ext, co.nom AS competition, {_HALL.replace('coalesce(sa.ville, eq.ville, sp.ville) AS salle_ville, ', '')} FROM {_STAR} WHERE co.id_ffhb = 'C1' AND m.statut = 'joue' AND m.date_heure >= TIMESTAMP '1996-01-01' ORDER BY m.date_heure DESC, m.id DESC LIMIT 20 OFFSET 20")
 def match_list(t: T) -> DataFrame:
-    rows = _star(t).filter(matches.match_filter(competition="C1", statut="joue", date_from=datetime(1996, 1, 1)))
+    rows = _listed(t, competition="C1", statut="joue", date_from=datetime(1996, 1, 1))
     return matches.page(matches.match_rows(rows), [F.col("date_heure").desc_nulls_last(), F.col("id").desc()], 20, 20).select(*_LIST)
 
 
 @_reg.add("P1_ten_filters", f"SELECT m.id FROM {_STAR} WHERE m.journee <= 22 AND m.statut = 'joue' AND m.date_heure <= TIMESTAMP '2001-01-01' AND (cd.id_ffhb = '365' OR ce.id_ffhb = '365') AND co.saison_code = '{SEASON}'")
 def ten_filters(t: T) -> DataFrame:
-    return _star(t).filter(matches.match_filter(statut="joue", club="365", saison=SEASON, date_to=datetime(2001, 1, 1)) & (F.col("m.journee") <= 22)).select(F.col("m.id").alias("id"))
+    return _listed(t, statut="joue", club="365", saison=SEASON, date_to=datetime(2001, 1, 1)).filter(F.col("m.journee") <= 22).select(F.col("m.id").alias("id"))
 
 
 @_reg.add("P2_either_role_of_club", f"SELECT m.id FROM {_STAR} WHERE ed.id_ffhb = '12' OR ee.id_ffhb = '12'")
@@ -287,9 +291,14 @@ _same("D14_poule_standing", """
     SELECT c.poule_id, CAST(row_number() OVER (PARTITION BY c.poule_id ORDER BY c.points DESC, c.buts_pour - c.buts_contre DESC, c.equipe_id) AS INTEGER) AS position, e.nom, c.points, c.joues FROM {classements} c JOIN {equipes} e ON e.id = c.equipe_id""")
 _same("D15_poule_stats", """
     SELECT s.poule_id, s.joueur_id, s.match_count, s.total_buts FROM {stats_joueurs} s JOIN (SELECT poule_id, max(capture_date) AS derniere FROM {stats_joueurs} GROUP BY poule_id) d ON d.poule_id = s.poule_id AND d.derniere = s.capture_date""")
-_same("D17_hall_matches", """
+_HALL_MATCHES = """
     SELECT h.id_ffhb, h.nom, count(m.id) AS matchs, min(m.date_heure) AS premier FROM (SELECT id_ffhb, nom, id, CAST(NULL AS STRING) AS equipement_id FROM {salles} UNION ALL SELECT equipement_id, nom, NULL, equipement_id FROM {equipements}) h
-    LEFT JOIN (SELECT id, date_heure, salle_id, CASE WHEN salle_id IS NULL THEN equipement_id END AS equipement_id FROM {matchs}) m ON m.salle_id = h.id OR m.equipement_id = h.equipement_id GROUP BY h.id_ffhb, h.nom""")
+    LEFT JOIN (SELECT id, date_heure, salle_id, CASE WHEN salle_id IS NULL THEN equipement_id END AS equipement_id FROM {matchs}) m ON m.salle_id = h.id OR m.equipement_id = h.equipement_id GROUP BY h.id_ffhb, h.nom"""
+# Each kind of place meets its matches by equality, and they are counted before the join.
+_same("D17_hall_matches", """
+    SELECT s.id_ffhb, s.nom, coalesce(n.n, 0) AS matchs, n.premier FROM {salles} s LEFT JOIN (SELECT salle_id, count(*) AS n, min(date_heure) AS premier FROM {matchs} WHERE salle_id IS NOT NULL GROUP BY salle_id) n ON n.salle_id = s.id
+    UNION ALL
+    SELECT e.equipement_id, e.nom, coalesce(n.n, 0), n.premier FROM {equipements} e LEFT JOIN (SELECT equipement_id, count(*) AS n, min(date_heure) AS premier FROM {matchs} WHERE salle_id IS NULL GROUP BY equipement_id) n ON n.equipement_id = e.equipement_id""", _HALL_MATCHES)
 _same("D18_clubs", "SELECT c.id_ffhb, c.nom, c.code_ffhb, n.equipes FROM {clubs} c LEFT JOIN (SELECT ext_structure_id, count(*) AS equipes FROM {equipes} GROUP BY ext_structure_id) n ON n.ext_structure_id = c.id_ffhb WHERE c.id_ffhb = '365' OR c.code_ffhb = '0000466' OR c.nom ILIKE '%machinery%'")
 _same("D19_team_detail", """
     SELECT e.id_ffhb, e.nom, c.nom AS club, coalesce(h.n, 0) AS domicile, coalesce(a.n, 0) AS exterieur, coalesce(j.n, 0) AS joueurs FROM {equipes} e LEFT JOIN {clubs} c ON c.id_ffhb = coalesce(e.ext_structure_id, e.porteur_ext_structure_id)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leaguespark.functions import text
-from leaguespark.operators import coverage, snapshot
+from leaguespark.operators import coverage, quantiles, snapshot
 from leaguespark.plans.league import EVENTS_NOW, NOW, SEASON, League
 
 _reg = League()
@@ -33,7 +33,10 @@ def traffic_hours(t: T) -> DataFrame:
 @_reg.add("D21_traffic_routes", f"SELECT regexp_replace(path, '/[0-9]+', '/:id', 'g') AS route, count(*) AS n, round(avg(duration_ms), 2) AS moyenne, quantile_disc(duration_ms, 0.95) AS p95 FROM {{api_logs}} WHERE {_WINDOW} GROUP BY 1 ORDER BY n DESC, route LIMIT 15")
 def traffic_routes(t: T) -> DataFrame:
     rows = t("api_logs").filter(_WINDOW.replace("TIMESTAMP '", "TIMESTAMP_NTZ '"))
-    found = rows.groupBy(text.template_route(F.col("path")).alias("route")).agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("duration_ms"), 2).alias("moyenne"), F.expr("percentile_disc(0.95) WITHIN GROUP (ORDER BY duration_ms)").cast("long").alias("p95"))
+    rows = rows.select(text.template_route(F.col("path")).alias("route"), "duration_ms")
+    found = rows.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("duration_ms"), 2).alias("moyenne"))
+    places = quantiles.percentile_disc(rows, "route", "duration_ms", 0.95).select(F.col("route").alias("p_route"), F.col("duration_ms").cast("long").alias("p95"))
+    found = found.join(places, F.col("route") == F.col("p_route"), "left").drop("p_route")
     return found.orderBy(F.col("n").desc(), "route").limit(15)
 
 
@@ -141,7 +144,8 @@ _same("D37_top_scorers", "SELECT j.numero_licence, CAST(sum(c.but_count) AS BIGI
 _same("D37_biggest_wins", "SELECT m.id, ed.nom AS dom, ee.nom AS ext, m.score_dom - m.score_ext AS ecart FROM {matchs} m JOIN {equipes} ed ON ed.id = m.equipe_dom_id JOIN {equipes} ee ON ee.id = m.equipe_ext_id WHERE m.statut = 'joue' ORDER BY abs(m.score_dom - m.score_ext) DESC, m.id LIMIT 25")
 _same("D37_shared_names", "SELECT nom, count(*) AS n, count(DISTINCT ext_structure_id) AS structures FROM {equipes} GROUP BY nom HAVING count(*) > 1")
 _same("D37_referees_by_month", "SELECT a.nom_complet, date_trunc('month', m.date_heure) AS mois, count(*) AS n FROM {officiels} o JOIN {arbitres} a ON a.id = o.arbitre_id JOIN {matchs} m ON m.id = o.match_id WHERE o.role = 'arbitre1' GROUP BY a.nom_complet, date_trunc('month', m.date_heure)")
-_same("D44_competition_crawl", "SELECT co.niveau, co.id_ffhb, count(DISTINCT ph.id) AS phases, count(po.id) AS poules, count(po.id) FILTER (WHERE po.id NOT IN (SELECT DISTINCT poule_id FROM {matchs})) AS poules_vides FROM {competitions} co JOIN {phases} ph ON ph.competition_id = co.id LEFT JOIN {poules} po ON po.phase_id = ph.id GROUP BY co.niveau, co.id_ffhb")
+_CRAWL = "SELECT co.niveau, co.id_ffhb, count(DISTINCT ph.id) AS phases, count(po.id) AS poules, count(po.id) FILTER (WHERE {vide}) AS poules_vides FROM {{competitions}} co JOIN {{phases}} ph ON ph.competition_id = co.id LEFT JOIN {{poules}} po ON po.phase_id = ph.id {more} GROUP BY co.niveau, co.id_ffhb"
+_same("D44_competition_crawl", _CRAWL.format(vide="p.poule_id IS NULL", more="LEFT JOIN (SELECT DISTINCT poule_id FROM {matchs}) p ON p.poule_id = po.id"), _CRAWL.format(vide="po.id NOT IN (SELECT DISTINCT poule_id FROM {matchs})", more=""))
 _same("D45_club_crawls", "SELECT id_ffhb, coalesce(max(CASE WHEN source = 'detail' THEN nom END), max(nom)) AS nom, max(email) AS email, count(*) AS captures FROM (SELECT 'liste' AS source, id_ffhb, upper(nom) AS nom, CAST(NULL AS STRING) AS email FROM {clubs} UNION ALL SELECT 'detail', id_ffhb, nom, email FROM {clubs} WHERE ligue_id <> 2) c GROUP BY id_ffhb")
 
 
