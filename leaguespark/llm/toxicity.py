@@ -49,10 +49,10 @@ MAX_POSITIVE = 8_000
 MAX_NEGATIVE = 16_000
 ROUNDS = 10
 PARTS = 4
-RATE = 0.2
-RIDGE = 1e-4
+RATE = 1.0
+RIDGE = 3e-3
 DAMPING = 0.1
-CALIBRATION = 0.25
+CALIBRATION = 0.15
 SEED = 5
 
 #: Bytes that part words: ASCII other than letters and digits.
