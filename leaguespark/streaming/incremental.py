@@ -45,6 +45,19 @@ def run(stream: DataFrame, folder: str, each: Callable[[DataFrame, int], None],
     return query
 
 
+def _kept(each: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """For what reads a batch several times: the batch is taken from the stream once, and so is what its state counts."""
+
+    def call(batch: DataFrame, number: int) -> None:
+        batch.persist()
+        try:
+            each(batch, number)
+        finally:
+            batch.unpersist()
+
+    return call
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows that came after their time was up, as far as the query's recent progress tells."""
     return sum(int(o["numRowsDroppedByWatermark"]) for p in query.recentProgress for o in p["stateOperators"])
@@ -70,7 +83,7 @@ def latest(stream: DataFrame, keys: list[str], order: list[str], columns: list[s
     def newest(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.max_by(F.struct(*held), F.struct(*order)).alias("__r")).select(*keys, "__r.*")
 
-    run(stream, folder, lambda batch, number: table.update(newest(batch), lambda old, new: newest(old.unionByName(new)), f"batch-{number}"))
+    run(stream, folder, _kept(lambda batch, number: table.update(newest(batch), lambda old, new: newest(old.unionByName(new)), f"batch-{number}")))
     table.drop_old()
     return table.read().select(*keys, *columns)
 
@@ -123,7 +136,7 @@ def fill_scores_counted(sheets: DataFrame, table: DataFrame, folder: str, time:
         filled.update(whole.groupBy("id").agg(F.min(F.struct("s_dom", "s_ext")).alias("s")), fill, f"batch-{number}")
 
     stream = sheets.withWatermark(time, late).dropDuplicatesWithinWatermark(["id", "s_dom", "s_ext"]) if time else sheets
-    query = run(stream, folder, each)
+    query = run(stream, folder, _kept(each))
     filled.drop_old()
     return filled.read(), late_rows(query)
 
