@@ -83,9 +83,8 @@ def lost_runs(t: T) -> DataFrame:
     folder = incremental.work_dir(spark)
     # Rows counted in silence are no sign of life, but they move the time on.
     stream = spark.readStream.schema(ledger.ENTRY).parquet(log.path)
-    alive = stream.withColumn("run_id", F.when(F.col("kind") != "rows", F.col("run_id")).otherwise(F.lit("-")))
-    incremental.run(timers.lost_runs(alive, 12 * 3600), folder, lambda batch, number: batch.write.mode("overwrite").parquet(f"{folder}/out/__batch={number}"))
-    found = spark.read.parquet(f"{folder}/out").drop("__batch").filter("run_id <> '-'")
+    incremental.run(timers.lost_runs(stream, 12 * 3600, silent=("rows",)), folder, lambda batch, number: batch.write.mode("overwrite").parquet(f"{folder}/out/__batch={number}"))
+    found = spark.read.parquet(f"{folder}/out").drop("__batch")
     return found.select("run_id", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("last_activity_at", "lost_at")])
 
 

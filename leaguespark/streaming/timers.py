@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,42 +12,59 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Kinds of entries that end a run.
 ENDS = ("success", "failed", "partial", "skipped")
+#: Groups of runs that share a state; a stream keeps the number it began with.
+SLOTS = 512
 LOST = "run_id string, last_activity_at timestamp, lost_at timestamp"
 
 
-def lost_runs(entries: DataFrame, idle_seconds: int, by_clock: bool = False) -> DataFrame:
+def lost_runs(entries: DataFrame, idle_seconds: int, by_clock: bool = False, silent: tuple[str, ...] = ()) -> DataFrame:
     """(run_id, last_activity_at, lost_at): open runs that gave no sign of life for so long, from a stream of (run_id, at, kind).
 
     Each run has one timer, set anew by every entry and dropped by the one that ends it.  Timers go by the entries' own
     time (a run is lost once the newest entry of all is that much later), or by the clock, for logs that may fall silent
-    altogether.  The state is one row an open run.
+    altogether.  Entries of ``silent`` kinds only move the time on; entries without a time are left out.
+
+    The open runs of one of ``SLOTS`` slots are one state, a map by run, so that Python is called once a slot and not
+    once a run; the slot's own timer is the earliest of its runs'.
     """
+    idle = idle_seconds * 1000
 
     def apply(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            (last,) = state.get
-            state.remove()
-            yield pd.DataFrame({"run_id": [key[0]], "last_activity_at": [pd.Timestamp(last, unit="us")], "lost_at": [pd.Timestamp(last + idle_seconds * 1_000_000, unit="us")]})
-            return
-        last, ended = (state.get[0] if state.exists else 0), False
-        for batch in batches:
-            last = max(last, int(batch["micros"].max()))
-            ended = ended or bool(batch["kind"].isin(ENDS).any())
-        if ended:
-            if state.exists:
-                state.remove()
-        else:
-            state.update((last,))
+        now = state.getCurrentProcessingTimeMs() if by_clock else state.getCurrentWatermarkMs()
+        runs = json.loads(state.get[0]) if state.exists else {}  # run: last entry in microseconds, time of the timer
+        last, ended = {}, set()
+        for batch in () if state.hasTimedOut else batches:
+            for run, micros in zip(batch["run_id"], batch["micros"], strict=True):
+                if micros > last.get(run, -1 << 63):
+                    last[run] = micros
+            ended.update(batch["run_id"][batch["kind"].isin(ENDS)])
+        lost = [(run, at) for run, (at, timer) in runs.items() if run not in last and (timer <= now if by_clock else timer < now)]
+        for run, _ in lost:
+            del runs[run]
+        for run, micros in last.items():
+            if run in ended:
+                runs.pop(run, None)
+            else:
+                at = int(max(micros, runs.get(run, (micros,))[0]))
+                runs[run] = (at, now + idle if by_clock else max(at // 1000 + idle, now + 1))
+        if runs:
+            state.update((json.dumps(runs),))
+            first = min(timer for _, timer in runs.values())
             if by_clock:
-                state.setTimeoutDuration(idle_seconds * 1000)
+                state.setTimeoutDuration(max(first - now, 1))
             else:
-                state.setTimeoutTimestamp(max(last // 1000 + idle_seconds * 1000, state.getCurrentWatermarkMs() + 1))
-        yield pd.DataFrame({"run_id": [], "last_activity_at": pd.to_datetime([]), "lost_at": pd.to_datetime([])})
+                state.setTimeoutTimestamp(max(first, now + 1))
+        elif state.exists:
+            state.remove()
+        if lost:
+            yield pd.DataFrame({"run_id": [run for run, _ in lost], **{c: pd.to_datetime([at + more for _, at in lost], unit="us") for c, more in (("last_activity_at", 0), ("lost_at", idle * 1000))}})
 
     timeout = GroupStateTimeout.ProcessingTimeTimeout if by_clock else GroupStateTimeout.EventTimeTimeout
     rows = entries.filter("run_id IS NOT NULL").withColumn("at", F.col("at").cast("timestamp"))
-    rows = (rows if by_clock else rows.withWatermark("at", "0 seconds")).select("run_id", "at", "kind", F.unix_micros("at").alias("micros"))
-    return rows.groupBy("run_id").applyInPandasWithState(apply, LOST, "last long", "append", timeout)
+    # A condition on the time itself stays above the watermark, so silent entries still move it.
+    rows = (rows if by_clock else rows.withWatermark("at", "0 seconds")).filter(F.when(F.coalesce(F.col("kind").isin(*silent), F.lit(False)), None).otherwise(F.col("at")).isNotNull())
+    rows = rows.select(F.pmod(F.xxhash64("run_id"), F.lit(SLOTS)).cast("int").alias("slot"), "run_id", "at", "kind", F.unix_micros("at").alias("micros"))
+    return rows.groupBy("slot").applyInPandasWithState(apply, LOST, "open string", "append", timeout)
 
 
 def pauses(requests: DataFrame, base_seconds: int, most_seconds: int) -> DataFrame:

@@ -165,3 +165,16 @@ def test_failures_in_a_row(spark):
     answers = spark.createDataFrame([("a", at(1), False), ("b", at(1), False), ("c", at(1), False), ("c", at(2), True), ("c", at(3), False), ("zz", at(1), False)], "subscription_id string, at timestamp, ok boolean")
     assert {tuple(r) for r in claims.failures(subscriptions, answers).collect()} == {("a", 29, True), ("b", 30, False), ("c", 1, True), ("d", 0, False)}
     assert time.monotonic() > 0
+
+
+def test_open_runs_share_states(spark, tmp_path, monkeypatch):
+    """Python is called once a slot: the state has a row a slot, however many runs are open; silent entries only move the time on."""
+    monkeypatch.setattr(timers, "SLOTS", 3)
+    folder, lost = f"{tmp_path}/in", []
+    runs = [(f"r{i}", 0, at(0), "open", "j", None, None, None) for i in range(40)] + [("r7", 1, at(1), "success", "j", None, None, None)]
+    for i, rows in enumerate([runs, [("r8", 1, at(59), "rows", "j", None, None, None), ("z", 0, at(61), "rows", "j", None, None, None), ("r9", 1, at(61), "pages", "j", None, None, None)]]):
+        spark.createDataFrame(rows, ledger.ENTRY).coalesce(1).write.parquet(f"{folder}/{i}")
+        stream = spark.readStream.schema(ledger.ENTRY).option("recursiveFileLookup", "true").parquet(folder)
+        query = incremental.run(timers.lost_runs(stream, 3600, silent=("rows",)), f"{tmp_path}/work", lambda batch, n: lost.extend(batch.collect()))
+        assert incremental.state_rows(query) == (3 if i == 0 else 1)
+    assert sorted((r.run_id, r.lost_at) for r in lost) == sorted((f"r{i}", at(60)) for i in range(40) if i not in (7, 9))
