@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from leaguespark.functions import coerce
+
 THRESHOLD = 0.6
 
 
@@ -26,18 +28,21 @@ def word_similarity(query: Column, text: Column) -> Column:
 
     Only runs that start and end with a shared trigram can be the best ones.
     """
-    wanted = F.array_distinct(trigrams(query))
-    grams = trigrams(text)
-    marks = F.transform(grams, lambda g, i: F.struct(g.alias("g"), i.alias("i"), F.array_contains(wanted, g).alias("hit")))
-    at = F.transform(F.filter(marks, lambda m: m["hit"]), lambda m: m["i"])
 
-    def score(start: Column, end: Column) -> Column:
-        run = F.array_distinct(F.slice(grams, start + 1, end - start + 1))
-        common = F.size(F.array_intersect(wanted, run))
-        return common / (F.size(wanted) + F.size(run) - common)
+    def best(wanted: Column, grams: Column) -> Column:
+        marks = F.transform(grams, lambda g, i: F.struct(i.alias("i"), F.array_contains(wanted, g).alias("hit")))
+        at = F.transform(F.filter(marks, lambda m: m["hit"]), lambda m: m["i"])
+
+        def score(start: Column, end: Column) -> Column:
+            run = F.array_distinct(F.slice(grams, start + 1, end - start + 1))
+            return coerce.let(F.size(F.array_intersect(wanted, run)), lambda common: common / (F.size(wanted) + F.size(run) - common))
+
+        scores = lambda places: F.flatten(F.transform(places, lambda s: F.transform(F.filter(places, lambda e: e >= s), lambda e: score(s, e))))
+        return F.array_max(coerce.let(at, scores))
 
-    best = F.array_max(F.flatten(F.transform(at, lambda s: F.transform(F.filter(at, lambda e: e >= s), lambda e: score(s, e)))))
-    return F.when(query.isNull() | text.isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(best, F.lit(0.0)))
+    # Trigrams are cut once a pair, not once a run.
+    found = coerce.let(F.struct(F.array_distinct(trigrams(query)).alias("w"), trigrams(text).alias("g")), lambda x: best(x["w"], x["g"]))
+    return F.when(query.isNull() | text.isNull(), F.lit(None).cast("double")).otherwise(F.coalesce(found, F.lit(0.0)))
 
 
 def may_match(query: Column, text: Column, threshold: float = THRESHOLD) -> Column:

@@ -325,11 +325,10 @@ _ENTITIES = f"SELECT 'club' AS type, id_ffhb AS id, nom FROM {{clubs}} UNION ALL
 
 def _search(t: T, query: str, rows: str) -> DataFrame:
     """Names are scored once each; those that hold too few of the query's trigrams can't pass and are not scored."""
-    entities = t.sql(rows)
-    names = entities.select("nom").distinct()
-    near = names.filter(similarity.may_match(F.lit(query), F.col("nom")))
-    scored = near.withColumn("score", similarity.word_similarity(F.lit(query), F.col("nom"))).filter(F.col("score") > similarity.THRESHOLD)
-    return entities.join(scored, "nom").select("type", "id", "nom", F.round("score", 6).alias("score"))
+    near = t.sql(rows).filter(similarity.may_match(F.lit(query), F.col("nom")))
+    # The score is of an aggregate's result, so no filter on it moves below the grouping or to the other side of the join.
+    scored = near.groupBy("nom").agg(F.max("nom").alias("text")).withColumn("score", similarity.word_similarity(F.lit(query), F.col("text")))
+    return near.join(scored.filter(F.col("score") > similarity.THRESHOLD), "nom").select("type", "id", "nom", F.round("score", 6).alias("score"))
 
 
 @_reg.add("F12_trigram_search", similar_sql("smal ring", PARTS))

@@ -21,3 +21,11 @@ def test_title_case_keeps_every_name(spark, tmp_path):
     spark.createDataFrame(rows, "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
     found = {r.p_partkey: r.title for r in QUERIES["F2_title_case"](spark, str(tmp_path)).collect()}
     assert found == {i: NAMES[name] for i, name in rows}
+
+
+def test_search_scores_names_above_their_grouping(spark):
+    from leaguespark.plans.registry import QUERIES
+
+    plan = QUERIES["D16_search"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last = max(i for i, line in enumerate(plan) if "array_max" in line)
+    assert "Aggregate" in plan[last + 1]
