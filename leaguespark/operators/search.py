@@ -74,8 +74,10 @@ class TrigramIndex:
         """(qid, id, nom, score) of names above the threshold; queries: qid, q."""
         found = self.candidates(queries, threshold).join(queries.select("qid", "q"), "qid")
         named = found.join(self.names.select(F.col(self.id).alias("id"), F.col(self.name).alias("nom")), "id")
-        scored = named.filter(similarity.may_match(F.col("q"), F.col("nom"), threshold)).withColumn("score", similarity.word_similarity(F.col("q"), F.col("nom")))
-        return scored.filter(F.col("score") > threshold).select("qid", "id", "nom", "score")
+        # Equal texts are compared once.  All conditions are on an aggregate's result, so none moves below the grouping or to another side of the join.
+        texts = named.groupBy("q", "nom").agg(F.max("nom").alias("text")).filter(similarity.may_match(F.col("q"), F.col("text"), threshold))
+        scored = texts.withColumn("score", similarity.word_similarity(F.col("q"), F.col("text"))).filter(F.col("score") > threshold)
+        return named.join(scored, ["q", "nom"]).select("qid", "id", "nom", "score")
 
     def best(self, queries: DataFrame, limit: int, threshold: float = similarity.THRESHOLD) -> DataFrame:
         """The best ``limit`` names of each query, ties by id."""

@@ -144,3 +144,14 @@ def test_index_search_equals_all_pairs(spark, tmp_path):
     best = index.best(asked, 3).collect()
     assert max(r.rank for r in best) == 3 and {r.qid for r in best} == {q for q, _, _ in want}
     assert index.search(asked.limit(0)).count() == 0
+
+
+def test_equal_names_are_scored_once(spark, tmp_path):
+    """The score is taken of each pair of texts above a grouping, and reaches every id of the name."""
+    rows = spark.createDataFrame([(i, "NATION MACHINERY" if i % 2 else "NATION MACHINERY 2") for i in range(200)], "id long, nom string")
+    asked = spark.createDataFrame([(1, "nation machinery"), (2, "nation machinery"), (3, "zzz")], "qid long, q string")
+    found = TrigramIndex(rows, str(tmp_path / "index")).search(asked)
+    plan = found._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last = max(i for i, line in enumerate(plan) if "array_max" in line)
+    assert "Aggregate" in plan[last + 1]
+    assert found.count() == 400 and {round(r.score, 6) for r in found.collect()} == {1.0}
