@@ -130,3 +130,31 @@ def test_player_statistics(poule):
     found = pages.player_statistics(poule(selector + data, missing + selector + data, selector, None))
     assert sorted((r.individu_id, r.ext_equipe_id, r.total_buts) for r in found["lignes"].collect()) == [("I1", "E1", 12), ("I2", "E3", 12), ("I3", None, 12)]
     assert {(r.individu_id, *r.fields) for r in found["rejets"].collect()} == {("I4", "nom"), ("I5", "total_buts"), ("I6", "total_arrets")}
+
+
+def test_components_are_scanned_once_above_a_grouping(spark):
+    rows = spark.range(100).select(F.lit(URL).alias("url"), F.concat(F.lit(part(pages.CLUB, {"post": {"post_title": "A", "acf": {"id_club": "1"}}})), F.lit("")).alias("html"), (F.col("id") % 2).alias("n")).distinct().drop("n")
+    for found in pages.club_documents(rows).values():
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("ArrowEvalPython") == 1 and plan.index("ArrowEvalPython") < plan.index("Aggregate")
+
+
+def test_pages_of_the_league_are_as_large_as_a_poule(spark, monkeypatch):
+    from leaguespark.plans import captured
+    from leaguespark.plans.league import league
+
+    t = league(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(pages, "competition_detail", lambda rows: rows)
+    named = F.size(F.regexp_extract_all("html", F.lit("ext_pouleId"), F.lit(0)))
+    found = captured._detail(t).agg(F.count(F.lit(1)), F.max(named)).first()
+    assert tuple(found) == (t("poules").count(), 1)
+
+
+def test_pages_of_a_poule_hold_one_list(spark):
+    from leaguespark.plans import captured
+    from leaguespark.plans.league import league
+
+    t = league(spark, "/root/testdata/sf0.001")
+    for kind, name in (("matches", pages.MATCHES), ("ranking", pages.RANKING), ("statistics", pages.STATISTICS)):
+        held = [F.max(F.col("html").contains(n).cast("int")) for n in (pages.MATCHES, pages.RANKING, pages.STATISTICS)]
+        assert tuple(captured._poule_pages(t, kind).agg(*held).first()) == tuple(int(n == name) for n in (pages.MATCHES, pages.RANKING, pages.STATISTICS))
