@@ -17,6 +17,9 @@ ACTIONS = (
 )
 #: Forms of a clock line and of who acted.
 _CLOCK = r"^(\d{1,2}:\d{2})\s+(\d+)\s*-\s*(\d+)(.*)$"
+#: What is trimmed from lines; ``_SPACES`` are those of ``text.SPACES``.
+_BLANKS = " \t\n\x0b\f\r"
+_SPACES = _BLANKS + "\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _ACTOR = r"^(.+?)\s+(J|O)([RV])(?:\s+N°(\d+))?\s+(.+)$"
 
 
@@ -35,14 +38,24 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
     return text_pages(found.select("path", "content"))
 
 
+def _numbered(page: Column) -> Column:
+    """array<struct<at, line>>: the trimmed lines of a text with their numbers from 0, without empty ones."""
+    trimmed = F.transform(F.split(page, "\n"), lambda line, at: F.struct(at.alias("at"), F.btrim(line, F.lit(_BLANKS)).alias("line")))
+    return F.filter(trimmed, lambda x: x["line"] != "")
+
+
 def lines(sheets: DataFrame) -> DataFrame:
     """(fdm_code, at, line): trimmed lines of (fdm_code, text), without empty ones."""
-    rows = sheets.select("fdm_code", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    return rows.withColumn("line", F.trim(F.regexp_replace("line", r"^\s+|\s+$", ""))).filter("line <> ''")
+    return sheets.select("fdm_code", F.inline(_numbered(F.col("text"))))
+
+
+def _once(rows: DataFrame, kept: list[str], **values: Column) -> DataFrame:
+    """The kept columns and the values, which are computed once a row: filters and projections on a generator's rows stay above it."""
+    return rows.select(*kept, F.inline(F.array(F.struct(*[value.alias(name) for name, value in values.items()]))))
 
 
 def _page_lines(page: Column) -> Column:
-    trimmed = F.transform(F.split(page, "\n"), lambda line: F.regexp_replace(line, rf"^{text.SPACES}|{text.SPACES}$", ""))
+    trimmed = F.transform(F.split(page, "\n"), lambda line: F.btrim(line, F.lit(_SPACES)))
     return F.filter(trimmed, lambda line: line != "")
 
 
@@ -73,30 +86,31 @@ HEADER_FIELDS = (
 )
 
 
-def header(sheets: DataFrame) -> DataFrame:
-    """(fdm_code, HEADER_FIELDS) from first pages (fdm_code, text); sheets without the line of teams and score are left out.
+def header(sheets: DataFrame, **more: Column) -> DataFrame:
+    """(fdm_code, HEADER_FIELDS, more of the text) from first pages (fdm_code, text); sheets without the line of teams and score are left out.
 
     Lines are addressed by what they start with and by their neighbours.  Two layouts are read: one with ``DATE:`` and
     ``SALLE:`` lines, one that has the date, the round and the hall in one line and the group in a line below the
     poule's.  A field that a sheet lacks is null, a missing date the empty text.
     """
-    rows = sheets.select("fdm_code", "text", _page_lines(F.col("text")).alias("l"))
+    rows = _once(sheets, ["fdm_code", "text"], l=_page_lines(F.col("text")))
     l, page = F.col("l"), F.col("text")
     organiser = _first(l, lambda x: x.startswith("Organisateur"))
     competition = _first(l, lambda x: x.startswith("Compétition") | x.startswith("Competition"))
     group = _first(l, lambda x: x.contains("Groupe") & ~x.contains("Code Renc") & ~x.startswith("Organisateur") & ~x.startswith("Compétition"))
-    rows = rows.select(
-        "fdm_code", "text", "l", organiser.alias("organiser"), competition.alias("competition"), group.alias("group"), _place(l, lambda x: x.rlike(r"^Groupe\s+\S+")).alias("group_at"),
-        _first(l, lambda x: x.contains(" / ") & x.rlike(r"\d+\s+\d+\s*$")).alias("teams"), _place(l, lambda x: x.rlike(_DATE_LINE)).alias("date_at"), _place(l, lambda x: x.contains("SALLE:")).alias("hall_at"),
+    rows = _once(rows, ["fdm_code", "text", "l"], teams=_first(l, lambda x: x.contains(" / ") & x.rlike(r"\d+\s+\d+\s*$"))).filter(F.col("teams").rlike(_TEAMS))
+    detail = F.when(page.contains("DETAIL"), F.substring(page, F.instr(page, "DETAIL"), F.length(page)))
+    rows = _once(
+        rows, ["fdm_code", "text", "l", "teams"], organiser=organiser, competition=competition, group=group, group_at=_place(l, lambda x: x.rlike(r"^Groupe\s+\S+")),
+        date_at=_place(l, lambda x: x.rlike(_DATE_LINE)), hall_at=_place(l, lambda x: x.contains("SALLE:")),
+        scores=_first(_page_lines(detail), lambda x: x.rlike(_SCORES)),
     ).withColumn("date", F.get("l", "date_at"))
     found = lambda column, pattern, i=1: F.trim(text.first_group(F.col(column), pattern, i))
     line = lambda at: F.get("l", F.col(at))
     hall = F.trim(text.first_group(page, _HALL))
     own_hall = found("date", r"\sSalle\s+(.+)$")
     address = F.when(F.col("hall_at") + 1 < F.size("l"), F.get("l", F.col("hall_at") + 1)).when(own_hall.isNotNull(), F.get("l", F.col("date_at") + 1))
-    detail = F.when(page.contains("DETAIL"), F.substring(page, F.instr(page, "DETAIL"), F.length(page)))
-    scores = F.split(_first(_page_lines(detail), lambda x: x.rlike(_SCORES)), r"\s+")
-    rows = rows.filter(F.col("teams").rlike(_TEAMS))
+    scores = F.split("scores", r"\s+")
     return rows.select(
         "fdm_code", found("organiser", _ORGANISER).alias("organisateur"), found("organiser", _ORGANISER, 2).alias("organisateur_code"), F.trim(F.regexp_replace("competition", _COMPETITION, "")).alias("competition_libelle"),
         F.coalesce(found("group", _GROUP, 2), F.trim(F.regexp_replace(line("group_at"), r"^Groupe\s+", ""))).alias("groupe"), F.coalesce(found("group", _GROUP), F.when(F.col("group_at") > 0, F.get("l", F.col("group_at") - 1))).alias("poule_libelle"),
@@ -104,6 +118,7 @@ def header(sheets: DataFrame) -> DataFrame:
         F.coalesce(F.nullif(F.regexp_extract("text", f"({_ROUND})", 1), F.lit("")), text.first_group(F.col("date"), r"Journ[eé]e\s+(J\d+)")).alias("journee_libelle"),
         F.coalesce(F.trim(F.regexp_replace(hall, r"^\d+\s*-\s*", "")), own_hall).alias("salle_libelle"), address.alias("salle_adresse"), found("teams", _TEAMS, 3).try_cast("int").alias("score_recevant"), found("teams", _TEAMS, 4).try_cast("int").alias("score_visiteur"),
         F.get(scores, F.lit(0)).try_cast("int").alias("score_mi_temps_recevant"), F.get(scores, F.lit(1)).try_cast("int").alias("score_mi_temps_visiteur"), text.first_group(page, _STATUS).alias("statut_match"),
+        *[value.alias(name) for name, value in more.items()],
     )
 
 
@@ -126,7 +141,11 @@ def _officials_behind(page: Column, label: str, role: str) -> Column:
 
 def officials_of(page: Column) -> Column:
     """array<struct<role, cote, nom, prenom, numero_licence>> of a first page, by label and then place; each (role, nom) counts once, the first time."""
-    listed = F.concat(*[_officials_behind(page, label, role) for label, role in OFFICIALS])
+    # Letters are folded as the expressions' flags do it; an expression only runs over pages that hold its label.
+    fold = lambda x: F.lower(F.upper(F.translate(x, "\u0130", "I")))
+    none = F.array().cast("array<struct<role:string,cote:string,nom:string,prenom:string,numero_licence:string>>")
+    behind = lambda folded: F.concat(*[F.when(folded.contains(label.lower()), _officials_behind(page, label, role)).otherwise(none) for label, role in OFFICIALS])
+    listed = coerce.let(fold(page), behind)
     new = lambda people, x, i: ~F.exists(F.slice(people, F.lit(1), i), lambda y: (y["role"] == x["role"]) & (y["nom"] == x["nom"]))
     return coerce.let(listed, lambda people: F.filter(people, lambda x, i: new(people, x, i)))
 
@@ -158,25 +177,28 @@ def actions(sheets: DataFrame) -> DataFrame:
 
     The period is carried on from its heading; where a clock line has no description, the next line is it.
     """
-    by = Window.partitionBy("fdm_code").orderBy("at")
-    rows = lines(sheets)
-    clock = F.col("line").rlike(_CLOCK)
-    rows = rows.withColumns({
-        "heading": F.regexp_extract("line", r"(?i)^PERIODE\s+([1-4])$", 1).try_cast("int"), "next": F.lead("line").over(by),
-        "own": F.when(clock, F.trim(F.regexp_replace(F.regexp_extract("line", _CLOCK, 4), r"^\s+", ""))),
-    })
-    rows = rows.withColumn("periode", F.coalesce(F.last("heading", True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)), F.lit(1)))
+    rows = _once(sheets, ["fdm_code"], l=F.transform(_numbered(F.col("text")), lambda x: x["line"]))
+    l = F.col("l")
+    # A cast that fails costs an exception, so only what has matched is cast.
+    heading = lambda line: F.nullif(F.regexp_extract(line, r"(?i)^PERIODE\s+([1-4])$", 1), F.lit("")).cast("int")
+    marks = F.filter(F.transform(l, lambda line, i: F.struct(i.alias("at"), heading(line).alias("periode"))), lambda m: m["periode"].isNotNull())
+    own = lambda line: F.when(line.rlike(_CLOCK), F.trim(F.regexp_replace(F.regexp_extract(line, _CLOCK, 4), r"^\s+", "")))
+    # A sheet is one row, so its lines see their neighbours without being dealt out and sorted.
+    rows = _once(rows, ["fdm_code", "l"], marks=marks, own=F.transform(l, own))
+    period = lambda i: F.coalesce(F.try_element_at(F.filter("marks", lambda m: m["at"] <= i), F.lit(-1))["periode"], F.lit(1))
     # A line that the one before took as its description is no clock line of its own.
-    rows = rows.withColumn("taken", F.coalesce(F.lag(F.col("own") == "").over(by), F.lit(False)))
-    rows = rows.filter(clock & ~F.col("taken")).withColumn("d", F.when(F.col("own") != "", F.col("own")).otherwise(F.col("next"))).filter("d <> ''")
-    pause = lambda side: F.col("d").rlike(f"(?i)Temps Mort.*{side}")
-    actor = lambda i: F.nullif(F.regexp_extract("d", _ACTOR, i), F.lit(""))
+    taken = lambda i: (i > 0) & (F.get("own", i - 1) == "")
+    told = F.transform("own", lambda x, i: F.when(x.isNotNull() & ~F.coalesce(taken(i), F.lit(False)), F.struct(F.get("l", i).alias("line"), period(i).alias("periode"), F.coalesce(F.nullif(x, F.lit("")), F.get("l", i + 1)).alias("d"))))
+    rows = rows.select("fdm_code", F.posexplode(F.filter(told, lambda x: x["d"] != "")).alias("ordre", "a")).select("fdm_code", "ordre", "a.*")
+    said = lambda i: F.nullif(F.regexp_extract("d", _ACTOR, i), F.lit(""))
+    rows = _once(rows, rows.columns, home=F.col("d").rlike("(?i)Temps Mort.*Recevant"), away=F.col("d").rlike("(?i)Temps Mort.*Visiteur"), word=F.trim(said(1)), who=said(2), team=said(3), shirt=said(4))
+    pause = lambda side: F.col({"Recevant": "home", "Visiteur": "away"}[side])
+    actor = lambda i: F.col(("word", "who", "team", "shirt")[i - 1])
     part = lambda i: F.regexp_extract("line", _CLOCK, i)
     side = F.when(pause("Recevant") | (~pause("Visiteur") & (actor(3) == "R")), "recevant").when(pause("Visiteur") | (actor(3) == "V"), "visiteur")
-    kind = F.when(pause("Recevant"), "temps_mort_recevant").when(pause("Visiteur"), "temps_mort_visiteur").when(actor(1).isNull(), "autre").otherwise(_kind(F.trim(actor(1))))
-    order = F.row_number().over(by) - 1
+    kind = F.when(pause("Recevant"), "temps_mort_recevant").when(pause("Visiteur"), "temps_mort_visiteur").when(actor(1).isNull(), "autre").otherwise(_kind(actor(1)))
     return rows.select(
-        "fdm_code", order.alias("ordre"), "periode", dates.seconds(part(1)).alias("temps_seconds"), part(2).try_cast("int").alias("score_recevant"), part(3).try_cast("int").alias("score_visiteur"),
+        "fdm_code", "ordre", "periode", dates.seconds(part(1)).alias("temps_seconds"), part(2).try_cast("int").alias("score_recevant"), part(3).try_cast("int").alias("score_visiteur"),
         kind.alias("type_action"), side.alias("cote"), F.when(~pause("Recevant") & ~pause("Visiteur"), actor(4).try_cast("int")).alias("numero_maillot"),
         F.when(~pause("Recevant") & ~pause("Visiteur"), F.when(actor(2) == "J", "joueur").when(actor(2) == "O", "officiel")).alias("acteur_role"), F.col("d").alias("description_brute"),
     )
@@ -192,13 +214,18 @@ def sections(sheets: DataFrame) -> DataFrame:
     A section starts at its first ``Club Recevant`` or ``Club Visiteur`` (or ``Club`` with the word on the next
     line) and ends at the other one or at ``DETAIL``.
     """
-    by = Window.partitionBy("fdm_code").orderBy("at")
-    rows = lines(sheets).withColumn("next", F.lower(F.lead("line").over(by)))
-    mark = F.lit(None).cast("string")
-    for word in ("recevant", "visiteur"):
-        mark = F.when(F.col("line").rlike(rf"(?i)club\s+{word}") | ((F.col("line") == "Club") & (F.col("next") == word)), word).otherwise(mark)
-    rows = rows.withColumn("mark", F.when(F.col("line").contains("DETAIL"), "").otherwise(mark))
-    rows = rows.withColumn("section", F.last("mark", True).over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = _once(sheets, ["fdm_code"], l=_numbered(F.col("text")))
+    l = F.col("l")
+
+    def mark(x: Column, i: Column) -> Column:
+        line, found = x["line"], F.lit(None).cast("string")
+        for word in ("recevant", "visiteur"):
+            found = F.when(line.rlike(rf"(?i)club\s+{word}") | ((line == "Club") & (F.lower(F.get(l, i + 1)["line"]) == word)), word).otherwise(found)
+        return F.struct(i.alias("i"), F.when(line.contains("DETAIL"), "").otherwise(found).alias("section"))
+
+    rows = _once(rows, ["fdm_code", "l"], marks=F.filter(F.transform(l, mark), lambda m: m["section"].isNotNull()))
+    section = lambda i: F.try_element_at(F.filter("marks", lambda m: m["i"] <= i), F.lit(-1))["section"]
+    rows = rows.select("fdm_code", F.inline(F.transform(l, lambda x, i: F.struct(x["at"].alias("at"), section(i).alias("section"), x["line"].alias("line")))))
     inside = rows.filter("section <> '' AND lower(line) NOT IN ('recevant', 'visiteur')").filter(~F.col("line").rlike(_NO_PLAYER))
     return inside.select("fdm_code", "at", "section", "line")
 
@@ -249,7 +276,7 @@ def _line_statistics(columns: Column) -> dict[str, Column]:
     at = lambda i: F.get(numbers(before), F.lit(i)).try_cast("int")
     n = F.size(numbers(before))
     # "3/4" stands for seven-metre throws scored and tried; the last one counts.
-    half = lambda i: F.filter(F.transform(F.filter(before, lambda c: c.contains("/")), lambda c: F.regexp_extract(c, r"^(\d*)[^/]*/(\d*)", i).try_cast("int")), lambda v: v.isNotNull())
+    half = lambda i: F.filter(F.transform(F.filter(before, lambda c: c.contains("/")), lambda c: F.nullif(F.regexp_extract(c, r"^(\d*)[^/]*/(\d*)", i), F.lit("")).try_cast("int")), lambda v: v.isNotNull())
     return {
         "buts": at(0),
         "sept_metres_reussis": F.coalesce(F.try_element_at(half(1), F.lit(-1)), F.when(n >= 3, at(1))),
@@ -288,12 +315,14 @@ def players(sheets: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     """
     rows = sections(sheets).withColumn("capitaine", F.col("line").startswith("X ")).withColumn("line", F.trim(F.regexp_replace("line", r"^X ", "")))
     rows = rows.filter(F.col("line").rlike(_PLAYER))
-    part = lambda i: F.regexp_extract("line", _PLAYER, i)
+    rows = _once(rows, ["fdm_code", "section", "at", "capitaine"], **{f"part{i}": F.regexp_extract("line", _PLAYER, i) for i in range(1, 6)})
+    part = lambda i: F.col(f"part{i}")
     name = lambda i: F.coalesce(F.nullif(F.trim(F.regexp_replace(F.regexp_extract(part(2), _CAPITALS, i), r"\s+", " ")), F.lit("")), F.lit("?"))
     rows = rows.select(
         "fdm_code", "section", "at", part(3).alias("numero_licence"), name(1).alias("nom"), name(2).alias("prenom"), F.nullif(part(4), F.lit("")).alias("type_licence"),
         part(1).try_cast("int").alias("numero_maillot"), "capitaine", F.filter(F.split(part(5), r"\s+"), lambda c: c != "").alias("tokens"),
     )
+    rows = _once(rows, [c for c in rows.columns if c != "tokens"], tokens=F.col("tokens"))
     found = _line_statistics(F.col("tokens"))
     if cells is not None:
         rows = rows.join(cells.select("fdm_code", "numero_licence", "cells"), ["fdm_code", "numero_licence"], "left")
@@ -311,7 +340,7 @@ def documents(pages: DataFrame, cells: DataFrame | None = None) -> DataFrame:
     a date, are no documents.  A line-up without players and a sheet without actions have empty lists.
     """
     first, second = (pages.filter(F.col("page") == n).select("fdm_code", "text") for n in (1, 2))
-    valid = header(first).filter("date_heure_str <> ''").join(first.select("fdm_code", officials_of(F.col("text")).alias("officiels")), "fdm_code")
+    valid = header(first, officiels=officials_of(F.col("text"))).filter("date_heure_str <> ''")
     named = players(first, cells)
     fields = [c for c in named.columns if c not in ("fdm_code", "at", "section")]
     side = lambda name: F.transform(F.array_sort(F.collect_list(F.when(F.col("section") == name, F.struct("at", F.struct(*fields).alias("p"))))), lambda x: x["p"]).alias(f"composition_{name}")
