@@ -178,3 +178,12 @@ def test_open_runs_share_states(spark, tmp_path, monkeypatch):
         query = incremental.run(timers.lost_runs(stream, 3600, silent=("rows",)), f"{tmp_path}/work", lambda batch, n: lost.extend(batch.collect()))
         assert incremental.state_rows(query) == (3 if i == 0 else 1)
     assert sorted((r.run_id, r.lost_at) for r in lost) == sorted((f"r{i}", at(60)) for i in range(40) if i not in (7, 9))
+
+
+def test_a_log_is_sorted_once_for_both_groupings(spark):
+    at = datetime(2024, 1, 1)
+    rows = [("r", 0, at, "open", "job", "s", 2, None), ("r", 1, at, "pages", "job", "s", 3, None), ("r", 1, at, "pages", "job", "s", 3, None), ("r", 1 << 21, at, "pages", "job", "s", 4, None)]
+    found = ledger.fold(spark.createDataFrame(rows, ledger.ENTRY))
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert [(r.run_id, r.job, r.saison, r.pages, r.status) for r in found.collect()] == [("r", "job", "s", 7, "running")]
+    assert text.count("Sort [") == 2 and text.count("Exchange ") == 2
