@@ -94,6 +94,22 @@ def test_a_pipeline_that_is_lost_is_resumed(spark, tmp_path, data, stop, monkeyp
     assert {tuple(r) for r in made.report("c").collect()} == {tuple(r) for r in whole.report("c").collect()}
 
 
+def test_a_step_takes_its_captures_once(spark, tmp_path, data):
+    tables, given = data
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(payload):
+        read.add(1)
+        return payload
+
+    counted = tables["salles"].withColumn("payload", F.udf(seen, "string").asNondeterministic()("payload"))
+    made = pipeline.Pipeline(spark, str(tmp_path), {"salles": counted}.get, given, buckets=2)
+    before = set(spark.sparkContext._jsc.getPersistentRDDs())
+    made.run("c", only=["salles"])
+    assert read.value == tables["salles"].count() and made.read("salles").count() == 2
+    assert set(spark.sparkContext._jsc.getPersistentRDDs()) <= before
+
+
 def test_a_failed_step_blocks_what_needs_it(spark, tmp_path, data):
     tables, given = data
     made = pipeline.Pipeline(spark, str(tmp_path), lambda name: tables[name] if name != "phases" else tables[name].select("id"), given, buckets=2)
