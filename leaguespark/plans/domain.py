@@ -276,10 +276,21 @@ def match_detail(t: T) -> DataFrame:
 
 # Players, referees, competitions, halls, reference lists.
 _same = _reg.same
-_same("D11_player_detail", """
+@_reg.add("D11_player_detail", """
     SELECT j.id, j.numero_licence, coalesce(s.matchs, 0) AS matchs, coalesce(s.buts, 0) AS buts, d.match_id AS dernier_match FROM {joueurs} j
     LEFT JOIN (SELECT joueur_id, count(DISTINCT match_id) AS matchs, CAST(sum(but_count) AS BIGINT) AS buts FROM {compositions} GROUP BY joueur_id) s ON s.joueur_id = j.id
     LEFT JOIN (SELECT joueur_id, match_id FROM (SELECT c.joueur_id, c.match_id, row_number() OVER (PARTITION BY c.joueur_id ORDER BY m.date_heure DESC, m.id DESC) AS nth FROM {compositions} c JOIN {matchs} m ON m.id = c.match_id) x WHERE nth = 1) d ON d.joueur_id = j.id""")
+def player_detail(t: T) -> DataFrame:
+    """One pass over the line-ups, each with its match's date: all of a player comes from one grouping of rows that are dealt once, without windows."""
+    t = t.dealt()
+    dates = t("matchs").groupBy(F.col("id").alias("match_id")).agg(F.max("date_heure").alias("date_heure"))
+    lines = t("compositions").select("joueur_id", "match_id", "but_count").join(dates, "match_id").repartition(t.parts, "joueur_id")
+    played = lines.groupBy("joueur_id", "match_id").agg(F.sum("but_count").alias("buts"), F.max("date_heure").alias("date_heure"))
+    totals = played.groupBy("joueur_id").agg(F.count("match_id").alias("matchs"), F.sum("buts").alias("buts"), F.max(F.struct("date_heure", "match_id")).alias("dernier"))
+    rows = t("joueurs").join(totals, F.col("id") == F.col("joueur_id"), "left")
+    return rows.select("id", "numero_licence", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("matchs", "buts")], F.col("dernier.match_id").alias("dernier_match"))
+
+
 _same("D12_referees", """
     SELECT a.id_ffhb, a.nom_complet, (SELECT count(*) FROM {officiels} o WHERE o.arbitre_id = a.id) AS matchs, (SELECT count(*) FROM {officiels} o WHERE o.arbitre_id = a.id AND o.role = 'arbitre1') AS principal FROM {arbitres} a""")
 _same("D13_competitions", """
