@@ -67,19 +67,24 @@ def player_matches(t: T, only: Column | None = None) -> DataFrame:
     )
 
 
-def player_pages(t: T, only: Column | None = None) -> DataFrame:
-    """Players with their totals (over all line-ups) and ``historique``, the last HISTORY matches, newest first."""
-    players = _picked(t("joueurs"), only)
-    lines = t("compositions").join(players.select(F.col("id").alias("joueur_id")), "joueur_id", "left_semi")
+def player_pages(t: T, only: Column | None = None, parts: int | None = None) -> DataFrame:
+    """Players with their totals (over all line-ups) and ``historique``, the last HISTORY matches, newest first; a line-up's team is the one of its side (``cote``).
+
+    Line-ups are dealt by player once, to ``parts`` tasks if given.
+    """
+    players, lines = _picked(t("joueurs"), only), t("compositions")
+    if only is not None:
+        lines = lines.join(players.select(F.col("id").alias("joueur_id")), "joueur_id", "left_semi")
     totals = lines.groupBy("joueur_id").agg(F.sum("but_count").alias("total_buts"), F.countDistinct("match_id").alias("total_matchs"))
-    # Dates come before names: only the last matches of each player are joined with teams.
-    dated = lines.join(t("matchs").select(F.col("id").alias("match_id"), "date_heure", "equipe_dom_id", "equipe_ext_id", "score_dom", "score_ext", "id_ffhb_match"), "match_id")
-    known = t("equipes").select("id")
-    for c in ("equipe_dom_id", "equipe_ext_id", "equipe_id"):
-        dated = dated.join(known.withColumnRenamed("id", c), c, "left_semi")
+    # Teams are looked up a match at a time: line-ups, which are many more, never travel by team.
+    names = lambda side: _named(t, side).drop(f"equipe_{side}_id_ffhb")
+    known = t("matchs").select(F.col("id").alias("match_id"), "date_heure", "equipe_dom_id", "equipe_ext_id", "score_dom", "score_ext", "id_ffhb_match")
+    known = known.join(names("dom"), "equipe_dom_id").join(names("ext"), "equipe_ext_id").drop("equipe_dom_id", "equipe_ext_id")
+    dated = lines.select("joueur_id", "match_id", "cote", "but_count").join(known, "match_id")
+    dated = dated.repartition(parts, "joueur_id") if parts else dated
     newest = Window.partitionBy("joueur_id").orderBy(F.desc_nulls_last("date_heure"), F.desc("match_id"))
     last = dated.withColumn("rang", F.row_number().over(newest)).filter(F.col("rang") <= HISTORY)
-    last = last.join(_named(t, "dom"), "equipe_dom_id").join(_named(t, "ext"), "equipe_ext_id").join(t("equipes").select(F.col("id").alias("equipe_id"), F.col("nom").alias("equipe_joueur_nom")), "equipe_id")
+    last = last.withColumn("equipe_joueur_nom", F.when(F.col("cote") == "dom", F.col("equipe_dom_nom")).otherwise(F.col("equipe_ext_nom")))
     history = _list(last, "joueur_id", ["rang"], ["id_ffhb_match", "date_heure", "equipe_dom_nom", "equipe_ext_nom", "score_dom", "score_ext", "equipe_joueur_nom", F.col("but_count").alias("buts")], "historique")
     joined = players.join(totals, F.col("id") == F.col("joueur_id"), "left").drop("joueur_id").join(history, F.col("id") == F.col("joueur_id"), "left").drop("joueur_id")
     return joined.withColumns({"total_buts": F.coalesce("total_buts", F.lit(0)), "total_matchs": F.coalesce("total_matchs", F.lit(0)), "historique": _empty("historique")})

@@ -38,7 +38,8 @@ _PLAYED = """
     LEFT JOIN (SELECT joueur_id, string_agg(id_ffhb_match || '|' || own || '|' || dom || '|' || ext || '|' || coalesce(CAST(score_dom AS VARCHAR), '-') || '|' || CAST(but_count AS VARCHAR), ',' ORDER BY nth) AS historique FROM h WHERE nth <= 10 GROUP BY joueur_id) l ON l.joueur_id = j.id""")
 def player_pages(t: T) -> DataFrame:
     entry = lambda x: _text(x["id_ffhb_match"], x["equipe_joueur_nom"], x["equipe_dom_nom"], x["equipe_ext_nom"], x["score_dom"], x["buts"])
-    return profiles.player_pages(t).select("numero_licence", "nom", "total_buts", "total_matchs", _joined("historique", entry).alias("historique"))
+    dealt = t.dealt()
+    return profiles.player_pages(dealt, parts=dealt.parts).select("numero_licence", "nom", "total_buts", "total_matchs", _joined("historique", entry).alias("historique"))
 
 
 @_reg.add("D11_player_matches", f"""

@@ -23,3 +23,15 @@ def test_tasks_grow_in_number_and_not_in_size(spark, name, monkeypatch):
     assert not any("l_partkey" in x or "l_linenumber" in x for x in plan.splitlines() if "Exchange hashpartitioning(" in x)
     if name == "D11_player_detail":
         assert "Window" not in plan and not by_match
+
+
+def test_line_ups_of_player_pages_never_travel_by_team(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES["D11_player_pages"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    by_team = [x for x in plan.splitlines() if "Exchange hashpartitioning(equipe_" in x]
+    # Matches and teams, for the home and for the away side.
+    assert len(by_team) == 4 and not any("equipe_id#" in x for x in by_team)
