@@ -13,12 +13,13 @@ Training takes at most ``MAX_POSITIVE`` and ``MAX_NEGATIVE`` labelled texts, cho
 by a hash (a documented bound on the fit alone).  Labels and hashes of the texts are
 grouped first, so a text that stands in many rows is one text of each label it has,
 and a group of copies can't fill the sample; only the chosen texts are fetched.
-Spark holds the hashed rows in ``PARTS`` groups; in each round every group takes one AdaGrad pass from
-the shared weights, and each weight becomes the mean over the groups that changed
-it.  Terms in fewer than ``MIN_ROWS`` training rows are left out.  A share of the
-rows is kept from training and calibrates the logit (slope and intercept, by
-Newton steps, with the two sampling rates as weights).  Every row of the input is
-scored, over its whole text.
+Spark deals the hashed rows into ``PARTS`` groups, once, and keeps them over the
+rounds; in each round every group takes one AdaGrad pass from the shared weights,
+and each weight becomes the mean over the groups that changed it.  Terms in fewer
+than ``MIN_ROWS`` training rows are left out.  A share of the rows is kept from
+training and calibrates the logit (slope and intercept, by Newton steps, with the
+two sampling rates as weights).  Every row of the input is scored, over its whole
+text.
 
 Defined cases: null and wordless texts have no terms and score the intercept;
 null labels are not learned from; without labels of both classes the score is the
@@ -206,25 +207,30 @@ def fit(labelled: DataFrame, texts: DataFrame | None = None) -> FactorizationMac
     slot = F.floor(F.col("u") * (1 << 40)) % 1000
     sample = sample.withColumn("back", slot < int(1000 * CALIBRATION)).withColumn("part", (slot % PARTS).cast("int"))
 
-    for turn in range(ROUNDS):
-        shared = spark.sparkContext.broadcast(model)
-
-        learned = sample.filter("NOT back").groupBy("part").applyInArrow(_learner(shared, turn), "part int, bias double, at binary, linear binary, factors binary")
-        touched, linear, factors = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.float64), np.zeros((BUCKETS, FACTORS))
-        biases = []
-        for row in sorted(learned.collect(), key=lambda r: r.part):  # PARTS rows of bounded size
-            at = np.frombuffer(row.at, np.int32)
-            touched[at] += 1
-            linear[at] += np.frombuffer(row.linear, np.float32)
-            factors[at] += np.frombuffer(row.factors, np.float32).reshape(-1, FACTORS)
-            biases.append(row.bias)
-        shared.unpersist()
-        if not biases:
-            break
-        at = touched > 0
-        model.bias = float(np.mean(biases))
-        model.linear[at] = linear[at] / touched[at]
-        model.factors[at] = factors[at] / touched[at, None]
+    # Dealt once, each group to a task of its own, and kept over the rounds: dealt in each, every round would leave the whole sample in shuffle files.
+    dealt = sample.filter("NOT back").repartitionById(PARTS, "part").persist()
+    try:
+        for turn in range(ROUNDS):
+            shared = spark.sparkContext.broadcast(model)
+
+            learned = dealt.groupBy("part").applyInArrow(_learner(shared, turn), "part int, bias double, at binary, linear binary, factors binary")
+            touched, linear, factors = np.zeros(BUCKETS, np.int32), np.zeros(BUCKETS, np.float64), np.zeros((BUCKETS, FACTORS))
+            biases = []
+            for row in sorted(learned.collect(), key=lambda r: r.part):  # PARTS rows of bounded size
+                at = np.frombuffer(row.at, np.int32)
+                touched[at] += 1
+                linear[at] += np.frombuffer(row.linear, np.float32)
+                factors[at] += np.frombuffer(row.factors, np.float32).reshape(-1, FACTORS)
+                biases.append(row.bias)
+            shared.unpersist()
+            if not biases:
+                break
+            at = touched > 0
+            model.bias = float(np.mean(biases))
+            model.linear[at] = linear[at] / touched[at]
+            model.factors[at] = factors[at] / touched[at, None]
+    finally:
+        dealt.unpersist()
 
     shared = spark.sparkContext.broadcast(model)
 

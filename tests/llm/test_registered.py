@@ -130,6 +130,23 @@ def test_op5_bound_holds_under_copies(spark, monkeypatch):
     assert rates == {0: 20 / 50, 1: 10 / 51}
 
 
+def test_op5_rounds_deal_the_sample_once(spark, monkeypatch, prose):
+    rows = [(t + (" scumlord" if i % 3 == 0 else ""), int(i % 3 == 0)) for i, t in enumerate(prose(300, 40, seed=5))]
+    labelled, scala = spark.createDataFrame(rows, "text string, label int"), spark.sparkContext._jsc.sc()
+    kept, found = scala.getPersistentRDDs().size(), {}
+    for rounds in (1, 6):
+        monkeypatch.setattr(toxicity, "ROUNDS", rounds)
+        scala.listenerBus().waitUntilEmpty()
+        first = scala.dagScheduler().nextStageId()
+        toxicity.fit(labelled)
+        scala.listenerBus().waitUntilEmpty()
+        no_quantiles = spark.sparkContext._gateway.new_array(spark._jvm.double, 0)
+        stages = scala.statusStore().stageList(None, False, False, no_quantiles, None)
+        found[rounds] = sum(x.shuffleWriteBytes() for x in (stages.apply(i) for i in range(stages.size())) if x.stageId() >= first)
+    assert 0 < found[6] <= 1.1 * found[1]
+    assert scala.getPersistentRDDs().size() == kept
+
+
 def test_op9_equals_densities_by_numpy(spark, tmp_path, prose):
     texts = [t if i % 3 else " ".join(w for w in t.split()[:6] for _ in range(7)) for i, t in enumerate(prose(150, 50, seed=1))] + [None, "", "x " * 5000]
     texts += texts[:3]
